@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,10 @@ from millrace.functions import decode_json, event_time
 from millrace.schemas import BUY, INVOICE, SELL, SENSOR, TRADE
 
 
+# What makes two records the same. The time comes first because it sorts faster.
+RECORD_KEY = ["timestamp", "value"]
+
+
 def decode_log(
     log: DataFrame, schema: T.StructType | str = INVOICE, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -45,8 +49,7 @@ def trades(log: DataFrame, schema: T.StructType | str = TRADE) -> DataFrame:
     A trade of the right type with no amount has a null there. Text that is no time gives a null
     ``CreatedTime``.
     """
-    rows = log.select(decode_json("value", schema).alias("trade")).select("trade.*")
-    return rows.withColumns(
+    return log.select(payload_fields(schema)).withColumns(
         {
             "CreatedTime": event_time("CreatedTime"),
             "Buy": F.when(F.col("Type") == BUY, F.col("Amount")).otherwise(0),
@@ -57,18 +60,25 @@ def trades(log: DataFrame, schema: T.StructType | str = TRADE) -> DataFrame:
 
 def sensor_readings(log: DataFrame, schema: T.StructType | str = SENSOR) -> DataFrame:
     """Readings of a log whose key is the sensor."""
-    rows = log.select(
-        F.col("key").cast("string").alias("SensorID"),
-        decode_json("value", schema).alias("reading"),
-    )
-    return rows.select("SensorID", "reading.*").withColumn("CreatedTime", event_time("CreatedTime"))
+    sensor = F.col("key").cast("string").alias("SensorID")
+    rows = log.select(sensor, payload_fields(schema))
+    return rows.withColumn("CreatedTime", event_time("CreatedTime"))
+
+
+def payload_fields(schema: T.StructType | str) -> Column:
+    """The fields of the JSON payload as columns.
+
+    Expanded as the one row of an array and not as ``struct.*``: the filter on the event time
+    that a window brings along is then not pushed below the parsing, which would do it twice.
+    """
+    return F.inline(F.array(decode_json("value", schema)))
 
 
 def distinct_records(log: DataFrame, schema: T.StructType | str = INVOICE) -> DataFrame:
     """Decoded log with one row per payload and time, the one with the highest offset."""
     order = ["offset", "partition", "topic"]
     decoded = decode_log(log, schema, keep=order[:2])
-    return latest_per_key(decoded, ["value", "timestamp"], order).drop(*order[:2])
+    return latest_per_key(decoded, RECORD_KEY, order).drop(*order[:2])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -78,5 +88,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     with very many copies never meets in one task. Null keys fold together too.
     """
     rest = [name for name in df.columns if name not in keys]
+    if not rest:
+        return df.distinct()
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("newest")
     return df.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*df.columns)

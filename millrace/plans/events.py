@@ -13,12 +13,13 @@ from millrace.operators import (
     trades,
 )
 from millrace.schemas import SENSOR, TRADE, WATERMARK_DELAY, WINDOW_SIZE
-from millrace.streaming import Snapshots, append, complete
+from millrace.streaming import append, complete
+from millrace.streaming.sinks import BatchFunction
 
 
 def trade_summary_stream(
     log: DataFrame,
-    result: Snapshots,
+    save: BatchFunction,
     checkpoint: str,
     trigger: str | None = None,
     size: str = WINDOW_SIZE,
@@ -28,12 +29,12 @@ def trade_summary_stream(
 ) -> StreamingQuery:
     """Bought and sold amounts of all windows after every batch, late trades included."""
     summary = trade_summary(trades(log, schema), size, slide, watermark)
-    return complete(summary, result.save, checkpoint, trigger, "trade-summary")
+    return complete(summary, save, checkpoint, trigger, "trade-summary")
 
 
 def sensor_maximum_stream(
     log: DataFrame,
-    result: Snapshots,
+    save: BatchFunction,
     checkpoint: str,
     trigger: str | None = None,
     size: str = WINDOW_SIZE,
@@ -43,7 +44,7 @@ def sensor_maximum_stream(
 ) -> StreamingQuery:
     """Highest readings of all windows after every batch, late readings included."""
     summary = sensor_maximum(sensor_readings(log, schema), size, slide, watermark)
-    return complete(summary, result.save, checkpoint, trigger, "sensor-maximum")
+    return complete(summary, save, checkpoint, trigger, "sensor-maximum")
 
 
 def closed_sensor_windows(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import decode_log, distinct_records
+from millrace.operators.logs import RECORD_KEY
 from millrace.schemas import INVOICE
 from millrace.streaming import UpsertStore, append, raw_batches
 
@@ -29,7 +30,7 @@ def idempotent_store(root: str, roll_up_every: int = 20) -> UpsertStore:
     The day is counted from the epoch and so does not move with the session's time zone.
     """
     day = F.floor(F.unix_seconds("timestamp") / 86400)
-    return UpsertStore(root, ["value", "timestamp"], part=day, roll_up_every=roll_up_every)
+    return UpsertStore(root, RECORD_KEY, part=day, roll_up_every=roll_up_every)
 
 
 def ingest_idempotent(

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import rewards
 from millrace.sources import invoices, table, with_input_file
-from millrace.streaming import Snapshots, UpsertStore, append, changed_groups, complete, raw_batches
+from millrace.streaming import UpsertStore, append, changed_groups, complete, raw_batches
 from millrace.streaming.sinks import BatchFunction
 
 CARD = ["CustomerCardNo"]
@@ -44,15 +44,15 @@ def accumulate_store(root: str, **options) -> UpsertStore:
 def rewards_complete(
     spark: SparkSession,
     bronze: str,
-    result: Snapshots,
+    save: BatchFunction,
     checkpoint: str,
     trigger: str | None = None,
     max_files: int | None = None,
     exact: bool = False,
 ) -> StreamingQuery:
-    """Totals of all customers, rewritten after every batch."""
+    """Totals of all customers, handed to ``save`` whole after every batch."""
     totals = rewards(table(spark, bronze, stream=True, max_files=max_files), exact=exact)
-    return complete(totals, result.save, checkpoint, trigger, "rewards-complete")
+    return complete(totals, save, checkpoint, trigger, "rewards-complete")
 
 
 def rewards_updated(

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators import tokens, word_count
 from millrace.schemas import SENTENCE_SEPARATOR, WORD_SEPARATOR
 from millrace.sources import sentences
-from millrace.streaming import Snapshots, complete, overwrite_table
+from millrace.streaming import complete, overwrite_table
+from millrace.streaming.sinks import BatchFunction
 
 
 def word_count_table(
@@ -27,14 +28,14 @@ def word_count_table(
 def word_count_stream(
     spark: SparkSession,
     text: str,
-    result: Snapshots,
+    save: BatchFunction,
     checkpoint: str,
     trigger: str | None = None,
     max_files: int | None = None,
     separator: str = SENTENCE_SEPARATOR,
     pattern: str = WORD_SEPARATOR,
 ) -> StreamingQuery:
-    """Keep the counts of all words seen so far in ``result``."""
+    """Hand the counts of all words seen so far to ``save`` after every batch."""
     lines = sentences(spark, text, stream=True, separator=separator, max_files=max_files)
     counts = word_count(tokens(lines, pattern=pattern))
-    return complete(counts, result.save, checkpoint, trigger, "word-count")
+    return complete(counts, save, checkpoint, trigger, "word-count")

@@ -49,9 +49,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def invoice_headers(orders: DataFrame) -> DataFrame:
-    """An order as an invoice without line items."""
+    """Orders as invoices without line items."""
+    return orders.select(*header_columns())
+
+
+def header_columns() -> list[Column]:
+    """An invoice's own fields, from those of an order."""
     card = F.col("o_custkey").cast("string")
-    return orders.select(
+    return [
         F.col("o_orderkey").cast("string").alias("InvoiceNumber"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("CreatedTime"),
         F.concat(F.lit("STR"), F.col("o_orderkey") % 97).alias("StoreID"),
@@ -66,7 +71,7 @@ def invoice_headers(orders: DataFrame) -> DataFrame:
             card.alias("PinCode"),
             F.col("o_orderstatus").alias("State"),
         ).alias("DeliveryAddress"),
-    )
+    ]
 
 
 def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -84,27 +89,20 @@ def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("TotalValue"),
     )
     paged = lines.select(
-        F.col("l_orderkey").cast("string").alias("InvoiceNumber"),
+        "l_orderkey",
         F.shiftright(F.monotonically_increasing_id(), PAGE_BITS).alias("page"),
         line.alias("line"),
     )
-    pages = paged.groupBy("InvoiceNumber", "page").agg(
+    pages = paged.groupBy("l_orderkey", "page").agg(
         F.collect_list("line").alias("InvoiceLineItems")
     )
-    headers = invoice_headers(orders)
-    full = headers.join(pages.drop("page"), "InvoiceNumber")
-    bare = headers.withColumn("InvoiceLineItems", F.slice(F.array(line_of_nothing()), 1, 0))
+    full = pages.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    full = full.select(*header_columns(), "InvoiceLineItems")
+    no_lines = F.array().cast(pages.schema["InvoiceLineItems"].dataType)
+    bare = orders.select(*header_columns(), no_lines.alias("InvoiceLineItems"))
     return full.unionByName(bare)
 
 
-def line_of_nothing() -> Column:
-    """A null of the line-item type."""
-    return F.lit(None).cast(
-        "struct<ItemCode: string, ItemDescription: string, ItemPrice: double, "
-        "ItemQty: bigint, TotalValue: double>"
-    )
-
-
 def by_year(invoices: DataFrame) -> DataFrame:
     """Invoices with the landing folder's partition column."""
     return invoices.withColumn("year", F.year(F.timestamp_seconds("CreatedTime")))
@@ -150,7 +148,7 @@ def time_waves(events: DataFrame, waves: int = MICRO_BATCHES) -> list[DataFrame]
 
 def third_of_files(spark: SparkSession, path: str) -> int:
     """Files per trigger that read a folder in about three micro-batches."""
-    return ceil(count_files(spark, path) / MICRO_BATCHES) or 1
+    return max(1, ceil(count_files(spark, path) / MICRO_BATCHES))
 
 
 @contextmanager

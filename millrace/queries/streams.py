@@ -91,7 +91,7 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts.write.partitionBy("lang").option("lineSep", ".").text(text)
     limit = third_of_files(spark, text)
     word_count_stream(
-        spark, text, result, f"{root}/checkpoint", "batch", limit
+        spark, text, result.save, f"{root}/checkpoint", "batch", limit
     ).awaitTermination()
     return result.read(spark)
 
@@ -178,7 +178,7 @@ def stream_rewards_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
             third_of_files(spark, landing), f"{root}/bronze",
         ).awaitTermination()
         rewards_complete(
-            spark, bronze, result, f"{root}/checkpoint", "batch",
+            spark, bronze, result.save, f"{root}/checkpoint", "batch",
             third_of_files(spark, f"{root}/bronze"), exact=True,
         ).awaitTermination()
     return as_double(result.read(spark))
@@ -224,7 +224,7 @@ def stream_trade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         event_log(wave).write.mode("append").parquet(f"{root}/log")
         log = envelope_files(spark, f"{root}/log", stream=True)
         trade_summary_stream(
-            log, result, f"{root}/checkpoint", "batch", schema=EXACT_TRADE
+            log, result.save, f"{root}/checkpoint", "batch", schema=EXACT_TRADE
         ).awaitTermination()
     return as_double(bounds_as_ntz(result.read(spark)), TOTALS)
 
@@ -234,7 +234,7 @@ def stream_sensor_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, result = landed_log(spark, sf_dir, root), Snapshots(f"{root}/summary")
     log = envelope_files(spark, path, stream=True, max_files=third_of_files(spark, path))
     sensor_maximum_stream(
-        log, result, f"{root}/checkpoint", "batch", slide="5 minutes"
+        log, result.save, f"{root}/checkpoint", "batch", slide="5 minutes"
     ).awaitTermination()
     return bounds_as_ntz(result.read(spark))
 
@@ -261,7 +261,7 @@ def stream_inserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.sql(f"CREATE TABLE {name} ({LOG_TABLE}) USING parquet LOCATION '{root}/table'")
         spark.sql(insert, rows=waves[0])
         query = trade_summary_stream(
-            table(spark, name, stream=True), result, f"{root}/checkpoint", schema=EXACT_TRADE
+            table(spark, name, stream=True), result.save, f"{root}/checkpoint", schema=EXACT_TRADE
         )
         try:
             for rows in waves[1:]:

@@ -1,4 +1,11 @@
-from millrace.streaming.sinks import append, changed_groups, complete, overwrite_table, raw_batches
+from millrace.streaming.sinks import (
+    append,
+    changed_groups,
+    complete,
+    overwrite_table,
+    raw_batches,
+    table_saver,
+)
 from millrace.streaming.stores import Snapshots, UpsertStore
 
 __all__ = [
@@ -9,4 +16,5 @@ __all__ = [
     "complete",
     "overwrite_table",
     "raw_batches",
+    "table_saver",
 ]

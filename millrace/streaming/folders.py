@@ -30,13 +30,9 @@ def finished(spark: SparkSession, root: str, kind: str) -> list[int]:
 
 
 def count_files(spark: SparkSession, path: str) -> int:
-    """Number of data files anywhere under ``path``."""
+    """Number of files anywhere under ``path``, markers of finished writes included."""
     where, files = _open(spark, path)
-    listing, total = files.listFiles(where, True), 0
-    while listing.hasNext():
-        name = listing.next().getPath().getName()
-        total += not name.startswith(("_", "."))
-    return total
+    return files.getContentSummary(where).getFileCount()
 
 
 def remove(spark: SparkSession, path: str) -> None:

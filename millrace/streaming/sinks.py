@@ -34,6 +34,18 @@ def overwrite_table(
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def table_saver(table: str, path: str | None = None, fmt: str = "parquet") -> BatchFunction:
+    """A function for ``complete`` that replaces a catalog table by the result of each batch.
+
+    Readers may find the table empty while it is replaced; with ``Snapshots`` they do not.
+    """
+
+    def save(df: DataFrame, batch_id: int) -> None:
+        overwrite_table(df, table, path, fmt)
+
+    return save
+
+
 def append(
     df: DataFrame,
     table: str,

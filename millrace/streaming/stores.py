@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.logs import latest_per_key
 from millrace.operators.upsert import add_up, check_rule, has_null
 from millrace.streaming.folders import finished, remove, subfolders
 
@@ -104,8 +105,11 @@ class UpsertStore:
                 remove(spark, f"{self.root}/batch={old}")
         newer = set(subfolders(spark, f"{self.root}/rolled={earlier[-1]}"))
         for old in earlier[:-1]:
-            for name in newer & set(subfolders(spark, f"{self.root}/rolled={old}")):
-                remove(spark, f"{self.root}/rolled={old}/{name}")
+            parts = set(subfolders(spark, f"{self.root}/rolled={old}"))
+            for part in parts & newer:
+                remove(spark, f"{self.root}/rolled={old}/{part}")
+            if parts <= newer:
+                remove(spark, f"{self.root}/rolled={old}")
 
     def _write(self, df: DataFrame, folder: str) -> None:
         part = F.lit("all") if self.part is None else self.part.cast("string")
@@ -148,11 +152,8 @@ class UpsertStore:
             rows = rows.unionByName(bases.withColumn("_batch", F.lit(-1)))
         if self.rule == "accumulate":
             return add_up(rows.select(*columns), self.keys, self.null_safe)
-        known = rows if self.null_safe else rows.where(~has_null(self.keys))
-        values = [name for name in columns if name not in self.keys]
-        newest = F.max_by(F.struct(*values), F.col("_batch")).alias("newest")
-        folded = known.groupBy(*self.keys).agg(newest).select(*self.keys, "newest.*")
         if self.null_safe:
-            return folded.select(*columns)
-        apart = rows.where(has_null(self.keys))
-        return folded.select(*columns).unionByName(apart.select(*columns))
+            return latest_per_key(rows, self.keys, ["_batch"]).select(*columns)
+        # A null key equals no other, so its rows stay as they are.
+        known = latest_per_key(rows.where(~has_null(self.keys)), self.keys, ["_batch"])
+        return known.unionByName(rows.where(has_null(self.keys))).select(*columns)
