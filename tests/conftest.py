@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from millrace.session import build_session  # noqa: E402
+from millrace.session import build_session, run_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,9 +13,15 @@ def spark():
     session = build_session(
         "tests",
         master="local[*]",
-        shuffle_partitions=8,
+        shuffle_partitions=4,
         conf={"spark.ui.enabled": "false", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def root(spark):
+    """A folder of its own for each test."""
+    return run_dir(spark, "test")
