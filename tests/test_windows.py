@@ -1,0 +1,226 @@
+"""Event-time windows on the literal trades and readings, static and streaming."""
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import (
+    running_net,
+    sensor_maximum,
+    sensor_readings,
+    trade_summary,
+    trades,
+    window_aggregate,
+    window_rows,
+)
+from millrace.plans import (
+    closed_sensor_windows,
+    net_position_report,
+    sensor_maximum_stream,
+    trade_summary_stream,
+)
+from millrace.queries.inputs import scratch_table
+from millrace.schemas import LOG_TABLE
+from millrace.sources import table
+from millrace.streaming import Snapshots, UpsertStore, append, changed_groups
+
+
+def trade(time, kind, amount):
+    return json.dumps(
+        {"CreatedTime": f"2019-02-05 {time}:00", "Type": kind, "Amount": amount,
+         "BrokerCode": "ABX"}
+    )
+
+
+INSERTS = [
+    [trade("10:05", "BUY", 500), trade("10:12", "BUY", 300)],
+    [trade("10:20", "BUY", 600), trade("10:40", "BUY", 900)],
+    [trade("10:48", "SELL", 500), trade("10:25", "SELL", 400)],
+]
+TOO_LATE = [trade("10:01", "BUY", 50)]
+
+SUMMARY = {
+    "10:00-10:15": (800, 0),
+    "10:15-10:30": (600, 400),
+    "10:30-10:45": (900, 0),
+    "10:45-11:00": (0, 500),
+}
+READINGS = {
+    "09:54": 36.2, "09:59": 36.5, "10:04": 36.8, "10:09": 36.2,
+    "10:14": 36.5, "10:19": 36.3, "10:24": 37.7, "10:29": 37.2,
+}
+TUMBLING = {"09:45-10:00": 36.5, "10:00-10:15": 36.8, "10:15-10:30": 37.7}
+SLIDING = {
+    "09:40-09:55": 36.2,
+    "09:45-10:00": 36.5,
+    "09:50-10:05": 36.8,
+    "09:55-10:10": 36.8,
+    "10:00-10:15": 36.8,
+    "10:05-10:20": 36.5,
+    "10:10-10:25": 37.7,
+    "10:15-10:30": 37.7,
+    "10:20-10:35": 37.7,
+    "10:25-10:40": 37.2,
+}
+
+
+def log_table(spark, values, key="2019-02-05"):
+    return spark.createDataFrame([(key, v) for v in values], LOG_TABLE)
+
+
+def readings(spark):
+    values = [
+        json.dumps({"CreatedTime": f"2019-02-05 {t}:00", "Reading": r}) for t, r in READINGS.items()
+    ]
+    return log_table(spark, values, "SET41")
+
+
+def span(row):
+    return f"{row.start:%H:%M}-{row.end:%H:%M}"
+
+
+def totals(summary):
+    return {span(r): (r.TotalBuy, r.TotalSell) for r in summary.collect()}
+
+
+def maxima(summary):
+    rows = summary.collect()
+    assert {r.SensorID for r in rows} <= {"SET41"}
+    return {span(r): r.MaxReading for r in rows}
+
+
+def all_trades(spark):
+    return trades(log_table(spark, sum(INSERTS, [])))
+
+
+def test_trade_summary(spark):
+    summary = trade_summary(all_trades(spark))
+    assert summary.columns == ["start", "end", "TotalBuy", "TotalSell"]
+    assert totals(summary) == SUMMARY
+
+
+def test_sensor_windows(spark):
+    rows = sensor_readings(readings(spark))
+    assert maxima(sensor_maximum(rows)) == TUMBLING
+    assert maxima(sensor_maximum(rows, slide="5 minutes")) == SLIDING
+
+
+def test_rows_without_a_time_are_in_no_window(spark):
+    rows = trades(log_table(spark, [trade("10:05", "BUY", 1), '{"Type":"BUY","Amount":7}', "{bad"]))
+    assert totals(trade_summary(rows)) == {"10:00-10:15": (1, 0)}
+
+
+def test_window_aggregate_of_the_callers(spark):
+    rows = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1, 0, m), m) for m in (1, 2, 16)], "k string, t timestamp, v int"
+    )
+    found = window_aggregate(
+        rows, [F.count("*").alias("n"), F.min("v").alias("low")], "t", keys=["k"]
+    )
+    assert found.columns == ["k", "start", "end", "n", "low"]
+    assert sorted((r.start.minute, r.n, r.low) for r in found.collect()) == [(0, 2, 1), (15, 1, 16)]
+
+
+def test_window_look_up(spark):
+    summary = trade_summary(all_trades(spark))
+    found = window_rows(summary, "2019-02-05 10:15:00", "2019-02-05 10:30:00").collect()
+    assert [(r.TotalBuy, r.TotalSell) for r in found] == [(600, 400)]
+    assert window_rows(summary, "2019-02-05 10:15:00", "2019-02-05 10:45:00").count() == 0
+
+
+def test_running_net_position(spark):
+    report = net_position_report(trade_summary(all_trades(spark))).orderBy("end")
+    assert report.columns == ["end", "at_time", "Buy", "Sell", "Net"]
+    assert [tuple(r)[1:] for r in report.collect()] == [
+        ("10:15", 800, 0, 800),
+        ("10:30", 1400, 400, 1000),
+        ("10:45", 2300, 400, 1900),
+        ("11:00", 2300, 900, 1400),
+    ]
+    assert running_net(trade_summary(all_trades(spark)), bucket="hour").count() == 4
+
+
+@pytest.fixture
+def log(spark, root):
+    """A stored log table, and a function to insert rows into it."""
+    with scratch_table(spark) as name:
+        log_table(spark, []).write.option("path", f"{root}/log").saveAsTable(name)
+
+        def insert(values):
+            rows = ", ".join(f"('2019-02-05', '{v}')" for v in values)
+            spark.sql(f"INSERT INTO {name} VALUES {rows}")
+
+        yield name, insert
+
+
+def test_late_trades_change_old_windows(spark, root, log):
+    name, insert = log
+    result = Snapshots(f"{root}/summary")
+    query = trade_summary_stream(table(spark, name, stream=True), result.save, f"{root}/cp")
+    assert query.name == "trade-summary"
+    try:
+        insert(INSERTS[0])
+        query.processAllAvailable()
+        assert totals(result.read(spark)) == {"10:00-10:15": (800, 0)}
+        insert(INSERTS[1])
+        query.processAllAvailable()
+        found = totals(result.read(spark))
+        assert (found["10:15-10:30"], found["10:30-10:45"]) == ((600, 0), (900, 0))
+        insert(INSERTS[2])
+        query.processAllAvailable()
+        assert totals(result.read(spark)) == SUMMARY
+        insert(TOO_LATE)
+        query.processAllAvailable()
+        # Complete mode keeps all windows, so even this one counts.
+        assert totals(result.read(spark)) == SUMMARY | {"10:00-10:15": (850, 0)}
+    finally:
+        query.stop()
+
+
+def test_update_mode_drops_what_is_later_than_the_watermark(spark, root, log):
+    name, insert = log
+    store = UpsertStore(f"{root}/summary", ["start", "end"])
+    for values in (*INSERTS, TOO_LATE):
+        insert(values)
+        summary = trade_summary(trades(table(spark, name, stream=True)))
+        changed_groups(summary, store.apply, f"{root}/cp", "batch").awaitTermination()
+    assert totals(store.read(spark)) == SUMMARY
+
+
+def test_append_mode_gives_closed_windows_once(spark, root, log):
+    name, insert = log
+    with scratch_table(spark) as closed:
+        for values in (*INSERTS, TOO_LATE):
+            insert(values)
+            summary = trade_summary(trades(table(spark, name, stream=True)))
+            append(
+                summary, closed, f"{root}/cp", "batch", path=f"{root}/summary"
+            ).awaitTermination()
+    assert totals(spark.read.parquet(f"{root}/summary")) == {"10:00-10:15": (800, 0)}
+
+
+def test_sensor_streams(spark, root, log):
+    name, insert = log
+    readings(spark).write.insertInto(name)
+    for slide, expected in ((None, TUMBLING), ("5 minutes", SLIDING)):
+        result = Snapshots(f"{root}/{slide}")
+        sensor_maximum_stream(
+            table(spark, name, stream=True), result.save, f"{root}/cp-{slide}", "batch", slide=slide
+        ).awaitTermination()
+        assert maxima(result.read(spark)) == expected
+    with scratch_table(spark) as closed:
+        closed_sensor_windows(
+            table(spark, name, stream=True), f"{root}/cp", closed, "batch", path=f"{root}/closed"
+        ).awaitTermination()
+        # The watermark is 09:59, before the end of the first window.
+        assert spark.read.parquet(f"{root}/closed").count() == 0
+        spark.createDataFrame(
+            [("SET41", '{"CreatedTime":"2019-02-05 10:50:00","Reading":1}')], LOG_TABLE
+        ).write.insertInto(name)
+        closed_sensor_windows(
+            table(spark, name, stream=True), f"{root}/cp", closed, "batch", path=f"{root}/closed"
+        ).awaitTermination()
+        expected = {k: v for k, v in TUMBLING.items() if k != "10:15-10:30"}
+        assert maxima(spark.read.parquet(f"{root}/closed")) == expected
