@@ -80,6 +80,8 @@ def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
     Lines are gathered per order and page of the scan. A page has a bounded number of rows, so
     no array outgrows it: an order with very many lines becomes several documents, in several
     tasks. The inner join lets adaptive execution split such an order on the side of its pages.
+    ``lines`` must come straight from files, where a lost task that runs again numbers its rows
+    as before.
     """
     line = F.struct(
         F.col("l_partkey").cast("string").alias("ItemCode"),

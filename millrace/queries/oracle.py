@@ -58,11 +58,15 @@ LOG_BATCH = f"""
 """
 
 IDEMPOTENT = f"""
-    select {LOG_COLUMNS},
-           case when ts >= timestamp '2024-01-15 00:00:00' then 'events-replay'
-                else 'events' end as topic,
-           ts as "timestamp"
-    from events
+    select "key", "CreatedTime", "Type", "Amount", "BrokerCode", "Reading", topic, "timestamp"
+    from (select {LOG_COLUMNS}, topic, ts as "timestamp",
+                 row_number() over (
+                     partition by ts, event_type, value order by topic desc, event_id desc) as n
+          from (select *, 'events' as topic from events
+                union all
+                select *, 'events-replay' from events
+                where ts >= timestamp '2024-01-15 00:00:00'))
+    where n = 1
 """
 
 AMOUNT = "cast(o_totalprice as decimal(18,2))"

@@ -71,6 +71,8 @@ class UpsertStore:
 
     def apply(self, df: DataFrame, batch_id: int) -> None:
         """Record the rows of a batch, one per key."""
+        if taken := {"part", "batch", "_batch"} & set(df.columns):
+            raise ValueError(f"the store's folders use the column names {sorted(taken)}")
         self._write(df, f"batch={batch_id}")
         if (batch_id + 1) % self.roll_up_every == 0:
             self.roll_up(df.sparkSession, batch_id)
@@ -116,6 +118,7 @@ class UpsertStore:
         rows = df.withColumn("part", part)
         if self.part is not None:
             # Few files per part, yet a part much larger than the rest still gets many tasks.
+            # Where adaptive execution is off Spark ignores this and writes rows where they are.
             rows = rows.hint("rebalance", F.col("part"))
         rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/{folder}")
 
@@ -146,7 +149,7 @@ class UpsertStore:
             return bases
         # The folder names give each change its batch id; rolled-up rows are older than any.
         rows = spark.read.option("basePath", self.root).parquet(*changes).drop("part")
-        rows = rows.withColumnRenamed("batch", "_batch")
+        rows = rows.withColumn("_batch", F.col("batch").cast("bigint")).drop("batch")
         columns = [name for name in rows.columns if name != "_batch"]
         if bases is not None:
             rows = rows.unionByName(bases.withColumn("_batch", F.lit(-1)))

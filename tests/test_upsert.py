@@ -112,7 +112,7 @@ batch = st.dictionaries(st.sampled_from(["a", "b", "c", "dd", None]), st.integer
     roll_up_every=st.integers(1, 3),
 )
 def test_any_batches_with_each_run_twice(spark, batches, rule, parted, roll_up_every):
-    part = F.coalesce(F.length("k"), F.lit(0)) if parted else None
+    part = F.length("k") if parted else None
     store = UpsertStore(
         run_dir(spark, "store"), ["k"], rule, part=part, roll_up_every=roll_up_every
     )
@@ -124,6 +124,11 @@ def test_any_batches_with_each_run_twice(spark, batches, rule, parted, roll_up_e
             assert rows_of(store.read(spark)) == expected
 
 
+def test_names_of_folders_are_no_columns(spark, root):
+    with pytest.raises(ValueError, match="batch"):
+        UpsertStore(root, ["k"]).apply(frame(spark, [("a", 1)], "k string, batch bigint"), 0)
+
+
 def test_batch_that_failed_half_way_does_not_count(spark, root):
     store = UpsertStore(root, ["k"], "accumulate")
     store.apply(frame(spark, [("a", 1)]), 0)
