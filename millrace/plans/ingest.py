@@ -10,6 +10,7 @@ from millrace.operators import decode_log, distinct_records
 from millrace.operators.logs import RECORD_KEY
 from millrace.schemas import INVOICE
 from millrace.streaming import UpsertStore, append, raw_batches
+from millrace.streaming.sinks import BatchFunction
 
 
 def ingest_log(
@@ -35,14 +36,17 @@ def idempotent_store(root: str, roll_up_every: int = 20) -> UpsertStore:
 
 def ingest_idempotent(
     log: DataFrame,
-    store: UpsertStore,
+    apply: BatchFunction,
     checkpoint: str,
     schema: str = INVOICE,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Keep each record once in ``store``, however often it is delivered."""
+    """Hand the distinct records of each batch to ``apply`` to be upserted by ``RECORD_KEY``.
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        store.apply(distinct_records(batch, schema), batch_id)
+    With ``idempotent_store(root).apply`` each record is kept once however often it is delivered.
+    """
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        apply(distinct_records(batch, schema), batch_id)
 
-    return raw_batches(log, apply, checkpoint, trigger, "idempotent-log-ingest")
+    return raw_batches(log, fold, checkpoint, trigger, "idempotent-log-ingest")

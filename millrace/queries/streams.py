@@ -164,7 +164,7 @@ def stream_idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         delivery.write.mode("append").parquet(f"{root}/log")
         log = envelope_files(spark, f"{root}/log", stream=True)
         ingest_idempotent(
-            log, store, f"{root}/checkpoint", EVENT_PAYLOAD, "batch"
+            log, store.apply, f"{root}/checkpoint", EVENT_PAYLOAD, "batch"
         ).awaitTermination()
     return flat_record(store.read(spark))
 

@@ -152,7 +152,9 @@ def test_plain_ingest_keeps_copies_and_idempotent_ingest_does_not(spark, root):
             ingest_log(
                 stream, f"{root}/cp1", name, PAYLOAD, "batch", f"{root}/bronze"
             ).awaitTermination()
-            ingest_idempotent(stream, store, f"{root}/cp2", PAYLOAD, "batch").awaitTermination()
+            ingest_idempotent(
+                stream, store.apply, f"{root}/cp2", PAYLOAD, "batch"
+            ).awaitTermination()
             if number == 2:
                 kept = {(r.key, r.value.a) for r in store.read(spark).collect()}
                 assert kept == {("d2", "0"), ("d1", "1"), ("d1", "2")}

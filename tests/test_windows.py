@@ -23,7 +23,7 @@ from millrace.plans import (
 )
 from millrace.queries.inputs import scratch_table
 from millrace.schemas import LOG_TABLE
-from millrace.sources import table
+from millrace.sources import csv_rows, table
 from millrace.streaming import Snapshots, UpsertStore, append, changed_groups
 
 
@@ -107,6 +107,19 @@ def test_sensor_windows(spark):
     assert maxima(sensor_maximum(rows, slide="5 minutes")) == SLIDING
 
 
+def test_sensor_summary_against_a_stored_csv(spark, root):
+    golden = [
+        ("SET41", f"2019-02-05 {span[:5]}:00", f"2019-02-05 {span[6:]}:00", high)
+        for span, high in SLIDING.items()
+    ]
+    columns = ["SensorID", "start", "end", "MaxReading"]
+    spark.createDataFrame(golden, columns).write.option("header", True).csv(root)
+    summary = sensor_maximum(sensor_readings(readings(spark)), slide="5 minutes")
+    expected = csv_rows(spark, root, summary.schema)
+    assert summary.exceptAll(expected).count() == expected.exceptAll(summary).count() == 0
+    assert expected.count() == len(SLIDING)
+
+
 def test_rows_without_a_time_are_in_no_window(spark):
     rows = trades(log_table(spark, [trade("10:05", "BUY", 1), '{"Type":"BUY","Amount":7}', "{bad"]))
     assert totals(trade_summary(rows)) == {"10:00-10:15": (1, 0)}
