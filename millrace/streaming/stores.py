@@ -38,6 +38,10 @@ class Snapshots:
             raise LookupError(f"no finished batch under {self.root}")
         return spark.read.parquet(f"{self.root}/batch={batches[-1]}")
 
+    def as_view(self, spark: SparkSession, name: str) -> None:
+        """Let SQL read the present result as ``name``; call it again to move to a newer one."""
+        self.read(spark).createOrReplaceTempView(name)
+
 
 class UpsertStore:
     """A keyed result to which each micro-batch adds its changes.
@@ -88,6 +92,10 @@ class UpsertStore:
             return settled if folded is None else folded
         return settled.unionByName(folded)
 
+    def as_view(self, spark: SparkSession, name: str) -> None:
+        """Let SQL read the present result as ``name``; call it again to move to a newer one."""
+        self.read(spark).createOrReplaceTempView(name)
+
     def roll_up(self, spark: SparkSession, batch_id: int) -> None:
         """Fold all batches up to ``batch_id`` into the parts they touch.
 
