@@ -35,6 +35,23 @@ def count_files(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(where).getFileCount()
 
 
+def claim(spark: SparkSession, root: str) -> None:
+    """Bind ``root`` to the streaming query that calls, which keeps its id across restarts.
+
+    Another query, or the same one started from a new checkpoint, counts its batches anew and
+    would mix them with those in ``root``; it is refused. Outside a stream nothing is bound.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        return
+    owners = [name for name in subfolders(spark, root) if name.startswith("query=")]
+    if not owners:
+        where, files = _open(spark, f"{root}/query={query}")
+        files.mkdirs(where)
+    elif owners != [f"query={query}"]:
+        raise ValueError(f"{root} holds the batches of another query or checkpoint")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     where, files = _open(spark, path)

@@ -2,8 +2,8 @@
 
 Both classes write each batch to a folder named by its id and never to a path that is being
 read. A batch that is run again after a failure overwrites its own folder with the same rows, so
-its effect is there once. Batch ids restart at 0 with a new checkpoint, so a root belongs to one
-checkpoint.
+its effect is there once. Batch ids restart at 0 with a new checkpoint, so a root belongs to the
+query and checkpoint that first wrote to it, and others are refused.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.logs import latest_per_key
 from millrace.operators.upsert import add_up, check_rule, has_null
-from millrace.streaming.folders import finished, remove, subfolders
+from millrace.streaming.folders import claim, finished, remove, subfolders
 
 
 class Snapshots:
@@ -27,6 +27,7 @@ class Snapshots:
 
     def save(self, df: DataFrame, batch_id: int) -> None:
         """Write the result of a batch and drop those older than the ``keep`` newest."""
+        claim(df.sparkSession, self.root)
         df.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
         for old in finished(df.sparkSession, self.root, "batch")[: -self.keep]:
             remove(df.sparkSession, f"{self.root}/batch={old}")
@@ -77,6 +78,7 @@ class UpsertStore:
         """Record the rows of a batch, one per key."""
         if taken := {"part", "batch", "_batch"} & set(df.columns):
             raise ValueError(f"the store's folders use the column names {sorted(taken)}")
+        claim(df.sparkSession, self.root)
         self._write(df, f"batch={batch_id}")
         if (batch_id + 1) % self.roll_up_every == 0:
             self.roll_up(df.sparkSession, batch_id)

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators import as_double, rewards
@@ -134,6 +135,29 @@ def test_batch_that_is_run_again_is_not_added_twice(spark, root):
     assert totals(store.read(spark)) == TOTALS
 
 
+@pytest.mark.parametrize("complete", [True, False])
+def test_result_belongs_to_one_checkpoint(spark, root, complete):
+    landing = f"{root}/landing"
+    snapshots, store = Snapshots(f"{root}/complete"), accumulate_store(f"{root}/added")
+
+    def run(bronze, checkpoint):
+        limits = {"trigger": "batch", "exact": True}
+        if complete:
+            return rewards_complete(spark, bronze, snapshots.save, checkpoint, **limits)
+        return rewards_accumulated(spark, bronze, store.apply, checkpoint, **limits)
+
+    with scratch_table(spark) as name:
+        for file in FILES:
+            land(spark, landing, file)
+            bronze_invoices(
+                spark, landing, f"{root}/cp0", name, "batch", path=f"{root}/bronze"
+            ).awaitTermination()
+            run(name, f"{root}/cp1").awaitTermination()
+        with pytest.raises(StreamingQueryException, match="another query or checkpoint"):
+            run(name, f"{root}/cp2").awaitTermination()
+    assert totals((snapshots if complete else store).read(spark)) == TOTALS
+
+
 def test_update_mode_hands_over_only_changed_groups(spark, root):
     seen, landing = [], f"{root}/landing"
 
