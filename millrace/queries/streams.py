@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +39,12 @@ from millrace.queries.inputs import (
     time_waves,
 )
 from millrace.schemas import LOG_TABLE
-from millrace.session import rocksdb_state, run_dir
+from millrace.session import rocksdb_state, run_dir, state_partitions
 from millrace.sources import envelope_files, from_timestamp, table
 from millrace.streaming import Snapshots
+from millrace.streaming.folders import total_bytes
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 ITEM_COLUMNS = [
     "InvoiceNumber",
@@ -273,19 +278,29 @@ def stream_inserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(bounds_as_ntz(result.read(spark)), TOTALS)
 
 
+def sized(query: Query, name: str) -> Query:
+    """The query with as many state partitions as its input table calls for."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with state_partitions(spark, total_bytes(spark, f"{sf_dir}/{name}.parquet")):
+            return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    "stream_word_count": stream_word_count,
+    "stream_word_count": sized(stream_word_count, "documents"),
     "stream_invoice_lines": stream_invoice_lines,
     "stream_default_trigger": stream_default_trigger,
     "stream_interval_trigger": stream_interval_trigger,
     "stream_log_to_bronze": stream_log_to_bronze,
     "stream_restart": stream_restart,
     "stream_idempotent_ingest": stream_idempotent_ingest,
-    "stream_rewards_complete": stream_rewards_complete,
-    "stream_rewards_update": stream_rewards_update,
+    "stream_rewards_complete": sized(stream_rewards_complete, "orders"),
+    "stream_rewards_update": sized(stream_rewards_update, "orders"),
     "stream_rewards_accumulate": stream_rewards_accumulate,
-    "stream_trade_summary": stream_trade_summary,
-    "stream_sensor_sliding": stream_sensor_sliding,
-    "stream_sensor_append": stream_sensor_append,
-    "stream_inserted_rows": stream_inserted_rows,
+    "stream_trade_summary": sized(stream_trade_summary, "events"),
+    "stream_sensor_sliding": sized(stream_sensor_sliding, "events"),
+    "stream_sensor_append": sized(stream_sensor_append, "events"),
+    "stream_inserted_rows": sized(stream_inserted_rows, "events"),
 }

@@ -7,12 +7,15 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
+from math import ceil
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+SHUFFLE_PARTITIONS_CONF = "spark.sql.shuffle.partitions"
+STATE_PARTITION_BYTES = 64 << 20
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
@@ -48,17 +51,34 @@ def build_session(
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streaming queries started inside the block keep their state in RocksDB."""
-    before = spark.conf.get(STATE_PROVIDER_CONF, None)
-    spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting inside the block; a streaming query keeps those it was started with."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(STATE_PROVIDER_CONF)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(STATE_PROVIDER_CONF, before)
+            spark.conf.set(name, before)
+
+
+def rocksdb_state(spark: SparkSession) -> AbstractContextManager[None]:
+    """Streaming queries started inside the block keep their state in RocksDB."""
+    return setting(spark, STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
+
+
+def state_partitions(spark: SparkSession, input_bytes: int) -> AbstractContextManager[None]:
+    """Queries started inside the block split their state to suit an input of the given size.
+
+    One partition per 64 MiB, at least one per core and at most what the session is set to: each
+    partition costs a task and a store per batch, which a small input does not repay.
+    """
+    most = int(spark.conf.get(SHUFFLE_PARTITIONS_CONF))
+    least = spark.sparkContext.defaultParallelism
+    wanted = max(least, ceil(input_bytes / STATE_PARTITION_BYTES))
+    return setting(spark, SHUFFLE_PARTITIONS_CONF, str(min(most, wanted)))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -35,6 +35,12 @@ def count_files(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(where).getFileCount()
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Length of a file, or of all files under a folder."""
+    where, files = _open(spark, path)
+    return files.getContentSummary(where).getLength()
+
+
 def claim(spark: SparkSession, root: str) -> None:
     """Bind ``root`` to the streaming query that calls, which keeps its id across restarts.
 

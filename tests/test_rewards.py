@@ -16,8 +16,16 @@ from millrace.plans import (
     rewards_updated,
 )
 from millrace.queries.inputs import scratch_table
-from millrace.session import ROCKSDB_PROVIDER, STATE_PROVIDER_CONF, rocksdb_state, shared_dir
-from millrace.streaming import Snapshots
+from millrace.session import (
+    ROCKSDB_PROVIDER,
+    SHUFFLE_PARTITIONS_CONF,
+    STATE_PROVIDER_CONF,
+    rocksdb_state,
+    setting,
+    shared_dir,
+    state_partitions,
+)
+from millrace.streaming import Snapshots, changed_groups
 
 FILES = [
     [("c1", 100.0), ("c2", 50.5), (None, 10.0)],
@@ -181,6 +189,28 @@ def test_rocksdb_state_is_set_inside_the_block_only(spark):
     assert spark.conf.get(STATE_PROVIDER_CONF, None) == before
 
 
+def test_state_partitions_follow_the_input(spark):
+    cores = spark.sparkContext.defaultParallelism
+    with setting(spark, SHUFFLE_PARTITIONS_CONF, "200"):
+        for size, expected in ((0, cores), (100 << 26, max(100, cores)), (1 << 50, 200)):
+            with state_partitions(spark, size):
+                assert int(spark.conf.get(SHUFFLE_PARTITIONS_CONF)) == expected
+    assert spark.conf.get(SHUFFLE_PARTITIONS_CONF) == "4"
+
+
+def test_running_query_keeps_its_settings(spark, root):
+    land(spark, f"{root}/landing", FILES[0])
+    rows = spark.readStream.schema("CustomerCardNo string, TotalAmount double").json(
+        f"{root}/landing"
+    )
+    with rocksdb_state(spark), setting(spark, SHUFFLE_PARTITIONS_CONF, "2"):
+        query = changed_groups(rewards(rows), lambda df, i: df.count(), f"{root}/cp", "batch")
+    query.awaitTermination()
+    state = query.lastProgress.stateOperators[0]
+    assert state.numShufflePartitions == 2
+    assert any(name.startswith("rocksdb") for name in state.customMetrics)
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_dir(spark)
