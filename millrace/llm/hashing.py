@@ -12,7 +12,7 @@ import numpy as np
 
 BYTES_AT_ONCE = 1 << 20
 _BYTE_BASE = 0x9E3779B97F4A7C15
-_WORD_BASE = 0xD6E8FEB86659FD93
+WORD_BASE = 0xD6E8FEB86659FD93
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -36,7 +36,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+def spans_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * _power(base, len(values) + 1)[: len(values)], out=sums[1:])
     inverse = pow(base, -1, 1 << 64)
@@ -69,10 +69,10 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     ends = np.flatnonzero(white & ~before)
     values = (_LOWER[joined] if lower else joined).astype(np.uint64) + np.uint64(1)
     firsts = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
-    return _spans(values, starts, ends, _BYTE_BASE), firsts
+    return spans_hashes(values, starts, ends, _BYTE_BASE), firsts
 
 
 def sequence_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A hash for the n words from each place on; empty if there are fewer."""
     starts = np.arange(max(0, len(words) - n + 1))
-    return _spans(words, starts, starts + n, _WORD_BASE)
+    return spans_hashes(words, starts, starts + n, WORD_BASE)

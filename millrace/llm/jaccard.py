@@ -74,7 +74,8 @@ def text_sets(texts: list[str], n: int) -> Iterator[np.ndarray]:
 
 def set_hash(grams: np.ndarray) -> int:
     size = np.uint64(len(grams))
-    return int(mixed(np.array([mixed(grams + size).sum(dtype=np.uint64) + size]))[0].astype(np.int64))
+    total = mixed(grams + size).sum(dtype=np.uint64, keepdims=True)
+    return int(mixed(total)[0].astype(np.int64))
 
 
 @lru_cache(maxsize=4096)
@@ -337,3 +338,13 @@ def similar_documents(
     return every.withColumns(back).select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, sim: Similarity, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows whose id is the smallest of its component; rows of one id stay or go together."""
+    found = similar_documents(docs, sim, doc_id, text)
+    kept = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col(doc_id).alias("__id")).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")

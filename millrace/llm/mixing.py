@@ -207,18 +207,17 @@ def mixed_documents(
     _, cut = mixed_pieces(sized, weights, share, most, seed)
     piece = F.struct("piece_from", "piece_words", "times")
     taken = cut.groupBy("doc_id").agg(F.sort_array(F.collect_list(piece)).alias("__pieces"))
-    spaced = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    with_words = docs.join(taken.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
-    with_words = with_words.withColumn("__words", spaced)
-    chosen = F.transform(
-        "__pieces",
-        lambda p: F.repeat(
-            F.concat_ws(
-                "",
-                F.slice(F.col("__words"), (p["piece_from"] + 1).cast("int"), p["piece_words"].cast("int")),
-                F.lit(" "),
-            ),
-            p["times"].cast("int"),
-        ),
-    )
-    return with_words.withColumn(text, F.rtrim(F.concat_ws("", chosen))).select(*docs.columns)
+    ended = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(" "))
+    spaced = F.regexp_extract_all(ended, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]+"), F.lit(0))
+    taken = taken.withColumnRenamed("doc_id", "__id")
+    found = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id")))
+    words = found.withColumn("__words", spaced).withColumn("__all", F.size("__words"))
+
+    def chosen(p: Column) -> Column:
+        part = F.slice(
+            F.col("__words"), (p["piece_from"] + 1).cast("int"), p["piece_words"].cast("int")
+        )
+        return F.repeat(F.array_join(part, ""), p["times"].cast("int"))
+
+    mixed = F.rtrim(F.array_join(F.transform("__pieces", chosen), ""))
+    return words.where("__all > 0").withColumn(text, mixed).select(*docs.columns)

@@ -155,3 +155,9 @@ def quality_score(df: DataFrame, stats: Column, model: Discriminant) -> Column:
         return pa.array(shared.value.scores(table), pa.float64())
 
     return score(stats)
+
+
+def fit_quality(docs: DataFrame, taught: DataFrame, doc_id: str = "doc_id", text: str = "text"):
+    """A model fitted on all documents with a label; ``taught`` has the id and ``label``."""
+    stats = docs.select(doc_id, document_statistics(F.col(text)).alias("stats"))
+    return fit_discriminant(stats.join(taught, doc_id))

@@ -16,6 +16,7 @@ from millrace.llm.quality import document_statistics, fit_discriminant, quality_
 from millrace.llm.rules import judge_quality
 from millrace.llm.search import nearest, whole_vectors
 from millrace.llm.storage import settled, ship_package
+from millrace.llm.substrings import remove_repeats
 from millrace.llm.urls import filter_urls
 from millrace.llm.words import word_count
 
@@ -87,6 +88,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return remove_repeats(docs, window=20).select("doc_id", "n_words", "n_removed", kept)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), vocabulary_path()
     ids = docs.select("doc_id", bpe_encode(spark, F.col("text"), path).alias("ids"))
@@ -130,10 +137,76 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_classifier,
         op4_exact_search,
         op5_url_filter,
+        op6_substring_dedup,
         op7_bpe,
         op8_html,
         op9_token_counts,
         op10_jaccard_join,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_exact_search": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as vec
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+         list_dot_product(q.vec, c.vec)::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  from s
+)
+select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op6_substring_dedup": r"""
+with t as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), g as (
+  select doc_id, unnest(range(1, greatest(len(w) - 18, 1))) as p, w from t
+), k as (
+  select doc_id, p, md5(array_to_string(w[p:p + 19], ' ')) as h from g
+), f as (
+  select doc_id, p,
+         row_number() over (partition by h order by doc_id, p) > 1 as again
+  from k
+), c as (
+  select distinct doc_id, unnest(range(p, p + 20)) as p from f where again
+), r as (
+  select doc_id, list(p) as gone from c group by doc_id
+)
+select t.doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+       sha256(coalesce(array_to_string(list_transform(
+         list_filter(range(1, len(w) + 1), lambda i: not list_contains(coalesce(gone, []), i)),
+         lambda i: w[i]), ' '), '')) as kept_sha256
+from t left join r on t.doc_id = r.doc_id""",
+    "op10_jaccard_join": r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, array_to_string(w[p:p + 2], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as p from t where len(w) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), c as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k
+  from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), e as (
+  select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * k >= 90 * (x.n + y.n - k)
+), u as (
+  select a, b from e union all select b, a from e
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select reach.a, u.b from reach join u on reach.b = u.a
+), m as (
+  select a as doc_id, min(b) as component_id from reach group by a
+)
+select t.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
+from t left join n on n.doc_id = t.doc_id join m on m.doc_id = t.doc_id""",
+}
