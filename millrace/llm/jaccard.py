@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.hashing import chunks, mixed, sequence_hashes, word_hashes
 from millrace.llm.storage import settled
+from millrace.llm.travel import compressed, opened
 
 COORDINATES = 64
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
 CHUNK = 256  # classes of a cell compared with as many others at once
 TASK_ROWS = 2048  # rows of open cells in a group, on average
+SEED = 0xA24BAED4963EE407
 NO_ID = -(1 << 63)
 
 
@@ -111,7 +113,7 @@ def signatures(grams: np.ndarray, sim: Similarity) -> np.ndarray:
         if not k:  # only equal sets are similar
             continue
         for level in range(LEVELS):
-            seed = np.uint64(label * LEVELS + level + 1) * np.uint64(0xA24BAED4963EE407)
+            seed = np.uint64((label * LEVELS + level + 1) * SEED % (1 << 64))
             dealt = mixed(grams ^ seed)
             place = (dealt % np.uint64(groups)).astype(np.int64)
             sums = np.zeros(groups, np.uint64)
@@ -221,7 +223,8 @@ def _map_grams(docs: DataFrame, sim: Similarity) -> DataFrame:
         for batch in batches:
             keys, sets, points = [], [], []
             wanted = batch.column(2).to_pylist()
-            for grams, key in zip(text_sets(batch.column(1).to_pylist(), sim.n), wanted):
+            texts = opened(batch.column(1).to_pylist())
+            for grams, key in zip(text_sets(texts, sim.n), wanted):
                 if set_hash(grams) == key:
                     keys.append(key)
                     sets.append(grams.view(np.int64))
@@ -308,9 +311,10 @@ def similar_documents(
     """
     rows = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint").alias("id"), text)
     sized = settled(_map_sets(rows, sim))
-    sigs = settled(_map_signatures(rows, sim))
-    repeated = sigs.groupBy("sig").count().where("count > 1").select("sig")
-    cells = settled(sigs.join(repeated, "sig").distinct())
+    sigs = _map_signatures(rows, sim)
+    half = F.shiftright("sig", 32).cast("int")  # narrow rows to count; the join tells them apart
+    repeated = sigs.groupBy(half.alias("half")).count().where("count > 1").select("half")
+    cells = settled(sigs.join(repeated, half == F.col("half")).select("sig", "class").distinct())
     leaders = cells.groupBy("sig").agg(F.min("class").alias("b"))
     pairs = settled(
         cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()
@@ -318,9 +322,8 @@ def similar_documents(
     ids = sized.where("n > 0").groupBy("class").agg(F.min("id").alias("id"))
     asked = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
     asked = asked.withColumnRenamed("a", "class").join(ids, "class")
-    sets = settled(
-        _map_grams(rows.join(asked, "id").select("id", text, "class"), sim)
-    )
+    packed = rows.select("id", compressed(F.col(text)).alias("text"))
+    sets = settled(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
     first = settled(_compared(pairs, sets, sim))
     more = settled(_searched(cells, components(first), sets, sim))
     roots = components(first.unionByName(more))
