@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 _BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 _WHITE = np.zeros(256, bool)
@@ -24,7 +24,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """Powers of an odd number modulo 2 ** 64, at least n."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 2 * BYTES_AT_ONCE), base, np.uint64)
+        steps = np.full(max(n, BYTES_AT_ONCE + 2), base, np.uint64)
         steps[0] = 1
         have = _powers[base] = np.cumprod(steps)
     return have

@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import millrace
-from millrace.session import shared_dir
+from millrace.session import run_dir, shared_dir
+from millrace.streaming.folders import remove
 
 _shipped: set[str] = set()
 
@@ -27,6 +28,21 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same for large frames: a table in the shared folder, a third as large, typed and with
+    sizes the planner knows. It goes when the driver's process ends."""
+    spark = df.sparkSession
+    folder = run_dir(spark, "stored")
+    df.write.parquet(folder)
+    atexit.register(_drop, spark, folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    if not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, folder)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this library to the Python workers, once per application.
 

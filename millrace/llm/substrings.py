@@ -17,7 +17,7 @@ than being sent everywhere: that text grows with the corpus.
 
 Null texts count as empty. Texts shorter than a window lose nothing. Rows of the same id and text
 stand at the same place and aren't earlier than each other; rows of the same id and different
-texts are ordered by a hash. A null id comes first. Segments are told apart by hashes of 128 bits.
+texts are ordered by a hash. A null id comes first. Segments are told apart by hashes of 96 bits.
 """
 
 from __future__ import annotations
@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.hashing import WORD_BASE, chunks, sequence_hashes, spans_hashes, word_hashes
-from millrace.llm.storage import settled
+from millrace.llm.storage import stored
+from millrace.llm.travel import compressed, opened
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ANCHOR_WORDS = 8
 SHARED = 64  # different segments of an anchor from which its windows are compared one by one
 SHARD_SEGMENTS = 4096
 PLACE_BITS = 40  # of a position: the word; above it, a hash that tells texts of one id apart
+SIZE_BITS = 12  # below the position in a segment's row: its number of windows
 NO_ID = -(1 << 63)
 
 
@@ -124,11 +126,15 @@ def anchored_segments(words: np.ndarray, firsts: np.ndarray, window: int) -> lis
 def _text_bits(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """A few bits that tell texts apart."""
     spans = spans_hashes(words, firsts[:-1], firsts[1:], WORD_BASE)
-    return (spans >> np.uint64(48)).astype(np.int64) & 0x7FFF
+    return (spans >> np.uint64(50)).astype(np.int64) & 0x7FF
 
 
 def _map_segments(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, content, id, place, n) of every segment of every row."""
+    """(anchor, content, id, at) of every segment of every row; ``at`` is place and size.
+
+    A segment has at most as many windows as words that an anchor can move over, 2 ** SIZE_BITS
+    at most.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,17 +146,14 @@ def _map_segments(docs: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor.view(np.int64)),
-                        pa.array(content.view(np.int64)),
+                        pa.array((content >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[first + text]),
-                        pa.array(start + (bits[text] << PLACE_BITS)),
-                        pa.array(n, pa.int64()),
+                        pa.array(((start + (bits[text] << PLACE_BITS)) << SIZE_BITS) + n),
                     ],
-                    ["anchor", "content", "id", "place", "n"],
+                    ["anchor", "content", "id", "at"],
                 )
 
-    return docs.mapInArrow(
-        rows, "anchor bigint, content bigint, id bigint, place bigint, n bigint"
-    )
+    return docs.mapInArrow(rows, "anchor bigint, content int, id bigint, at bigint")
 
 
 def _of_text(text: str, spans: list[dict]) -> tuple[list[str], list[dict]]:
@@ -162,35 +165,31 @@ def _of_text(text: str, spans: list[dict]) -> tuple[list[str], list[dict]]:
 
 
 def _load_segments(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, id, place, n, words) of segments (anchor, id, place, n), read from the texts."""
-    spans = wanted.groupBy("id").agg(
-        F.collect_list(F.struct("place", "n", "anchor")).alias("spans")
-    )
+    """(anchor, id, place, n, kinds, words) of segments, read from the texts once."""
+    fields = ["anchor", "place", "n", "kinds"]
+    spans = wanted.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("spans"))
+    names = ["anchor", "id", "place", "n", "kinds", "words"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            ids, texts, lists = (c.to_pylist() for c in batch.columns)
+            for i, text, spans in zip(ids, opened(texts), lists):
                 words, own = _of_text(text, spans)
-                starts = [s["place"] & ((1 << PLACE_BITS) - 1) for s in own]
+                found = []
+                for s in own:
+                    start = s["place"] & ((1 << PLACE_BITS) - 1)
+                    part = " ".join(words[start : start + s["n"] + window - 1])
+                    found.append((s["anchor"], i, s["place"], s["n"], s["kinds"], part))
+                columns = list(zip(*found)) or [()] * 6
+                kinds = [pa.int64()] * 5 + [pa.string()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([s["anchor"] for s in own], pa.int64()),
-                        pa.array([i] * len(own), pa.int64()),
-                        pa.array([s["place"] for s in own], pa.int64()),
-                        pa.array([s["n"] for s in own], pa.int64()),
-                        pa.array(
-                            [
-                                words[a : a + s["n"] + window - 1]
-                                for a, s in zip(starts, own)
-                            ],
-                            pa.list_(pa.string()),
-                        ),
-                    ],
-                    ["anchor", "id", "place", "n", "words"],
+                    [pa.array(c, k) for c, k in zip(columns, kinds)], names
                 )
 
-    return docs.join(spans, "id").mapInArrow(
-        rows, "anchor bigint, id bigint, place bigint, n bigint, words array<string>"
+    packed = docs.select("id", compressed(F.col(docs.columns[1])).alias("text"))
+    return packed.join(spans, "id").mapInArrow(
+        rows,
+        "anchor bigint, id bigint, place bigint, n bigint, kinds bigint, words string",
     )
 
 
@@ -201,7 +200,8 @@ def _streamed(segments: DataFrame, window: int) -> DataFrame:
     def spans(table: pa.Table) -> pa.Table:
         automaton, found = SuffixAutomaton(), []
         ordered = sorted(zip(*(table[c].to_pylist() for c in ("id", "place", "words"))))
-        for i, place, words in ordered:
+        for i, place, text in ordered:
+            words = text.split(" ")
             for end, matched in enumerate(automaton.matches(words)):
                 if matched >= window:
                     found.append((i, place + end - window + 1, 1))
@@ -223,7 +223,7 @@ def _compared(segments: DataFrame, window: int) -> DataFrame:
     """The same spans for anchors of many segments, from single windows."""
     at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1))
     windows = segments.withColumn("at", at).select(
-        F.concat_ws(" ", F.slice("words", F.col("at").cast("int") + 1, window)).alias("text"),
+        F.concat_ws(" ", F.slice(F.split("words", " "), F.col("at").cast("int") + 1, window)).alias("text"),
         F.struct("id", (F.col("place") + F.col("at")).alias("place")).alias("at"),
     )
     firsts = windows.groupBy("text").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("k"))
@@ -233,23 +233,32 @@ def _compared(segments: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     """Spans (id, place, n) of windows that occur earlier, of rows (id, text)."""
-    again = _map_segments(docs, window).groupBy("anchor").count().where("count > 1")
-    rows = settled(_map_segments(docs, window).join(again.select("anchor"), "anchor"))
-    here = F.struct("id", "place")
+    segments = _map_segments(docs, window)
+    short = F.shiftright("anchor", 16)  # 48 bits, narrower to count; a superset will do
+    again = segments.groupBy(short.alias("short")).count().where("count > 1").select("short")
+    rows = stored(segments.join(again, short == F.col("short")).drop("short"))
+    here = F.struct("id", "at")
     contents = rows.groupBy("anchor", "content").agg(F.min(here).alias("first"))
     kinds = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    placed = settled(
+    placed = stored(
         rows.join(contents, ["anchor", "content"])
         .join(kinds, "anchor")
         .withColumn("copy", here > F.col("first"))
         .where("copy or kinds > 1")
-        .select("anchor", "id", "place", "n", "kinds", "copy")
+        .select(
+            F.when(~F.col("copy"), F.col("anchor")).alias("anchor"),
+            "id",
+            F.shiftright("at", SIZE_BITS).alias("place"),
+            F.col("at").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("n"),
+            "kinds",
+            "copy",
+        )
     )
     copies = placed.where("copy").select("id", "place", "n")
-    open_rows = placed.where("not copy").distinct()
-    few = settled(_load_segments(docs, open_rows.where(F.col("kinds") <= SHARED), window))
-    many = settled(_load_segments(docs, open_rows.where(F.col("kinds") > SHARED), window).distinct())
-    return copies.unionByName(_streamed(few.distinct(), window)).unionByName(_compared(many, window))
+    open_rows = placed.where("not copy").drop("copy").distinct()
+    segments = stored(_load_segments(docs, open_rows, window).distinct())
+    few, many = (segments.where(c) for c in (f"kinds <= {SHARED}", f"kinds > {SHARED}"))
+    return copies.unionByName(_streamed(few, window)).unionByName(_compared(many, window))
 
 
 def _covered(n_words: int, spans: list[dict], window: int) -> np.ndarray:
@@ -269,7 +278,7 @@ def remove_repeats(
     The text keeps its white space: a word goes with the white space that follows it.
     """
     key = F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint")
-    spans = settled(repeated_spans(docs.select(key.alias("id"), text), window))
+    spans = stored(repeated_spans(docs.select(key.alias("id"), text), window))
     listed = spans.groupBy(F.col("id").alias("__id")).agg(
         F.collect_list(F.struct("place", "n")).alias("__spans")
     )
@@ -281,8 +290,7 @@ def remove_repeats(
     @F.arrow_udf(result)
     def removed(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for t, s in zip(texts.to_pylist(), spans.to_pylist()):
-            t = t or ""
+        for t, s in zip(opened(texts.to_pylist()), spans.to_pylist()):
             words, own = _of_text(t, s) if s else (WORD.findall(t), [])
             kept, left, n = words, t, 0
             if own:
@@ -296,7 +304,8 @@ def remove_repeats(
             out.append({"n_words": len(words), "n_removed": n, "kept": " ".join(kept), "text": left})
         return pa.array(out, kinds)
 
-    joined = docs.join(listed, key == F.col("__id"), "left")
+    packed = docs.withColumn(text, compressed(F.col(text)))
+    joined = packed.join(listed, key == F.col("__id"), "left")
     found = joined.withColumn("__found", removed(F.col(text), F.col("__spans")))
     return found.withColumns(
         {
