@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.hashing import chunks, mixed, sequence_hashes, word_hashes
-from millrace.llm.storage import settled
+from millrace.llm.storage import stored
 from millrace.llm.travel import compressed, opened
 
 COORDINATES = 64
@@ -259,7 +259,7 @@ def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similari
     placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left").select(
         "sig", "class", F.coalesce("root", "class").alias("label")
     )
-    placed = settled(placed)
+    placed = stored(placed)
     total = F.sum(F.xxhash64("class").cast("decimal(38,0)"))
     state = placed.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"),
@@ -275,7 +275,7 @@ def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similari
     rows = rows.withColumn("other", turn).select(
         "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "label"
     )
-    rows = settled(rows)
+    rows = stored(rows)
     tasks = max(1, ceil(rows.count() / TASK_ROWS))
     task = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(tasks)).alias("task")
     loaded = rows.join(sets.select("class", "grams"), "class").select(
@@ -310,22 +310,22 @@ def similar_documents(
     The component is the smallest id that links lead to.
     """
     rows = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint").alias("id"), text)
-    sized = settled(_map_sets(rows, sim))
+    sized = stored(_map_sets(rows, sim))
     sigs = _map_signatures(rows, sim)
-    half = F.shiftright("sig", 32).cast("int")  # narrow rows to count; the join tells them apart
-    repeated = sigs.groupBy(half.alias("half")).count().where("count > 1").select("half")
-    cells = settled(sigs.join(repeated, half == F.col("half")).select("sig", "class").distinct())
+    short = F.shiftright("sig", 16)  # 48 bits, narrower to count; a superset will do
+    repeated = sigs.groupBy(short.alias("short")).count().where("count > 1").select("short")
+    cells = stored(sigs.join(repeated, short == F.col("short")).select("sig", "class").distinct())
     leaders = cells.groupBy("sig").agg(F.min("class").alias("b"))
-    pairs = settled(
+    pairs = stored(
         cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()
     )
     ids = sized.where("n > 0").groupBy("class").agg(F.min("id").alias("id"))
     asked = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
     asked = asked.withColumnRenamed("a", "class").join(ids, "class")
     packed = rows.select("id", compressed(F.col(text)).alias("text"))
-    sets = settled(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
-    first = settled(_compared(pairs, sets, sim))
-    more = settled(_searched(cells, components(first), sets, sim))
+    sets = stored(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
+    first = stored(_compared(pairs, sets, sim))
+    more = stored(_searched(cells, components(first), sets, sim))
     roots = components(first.unionByName(more))
     rooted = ids.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "id", F.coalesce("root", "class").alias("root")
