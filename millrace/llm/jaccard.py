@@ -6,7 +6,7 @@ groups, some group is the same in both. Classes are brought together by equal gr
 ranges of sizes, which no unrelated texts share.
 
 In each such cell every class is first compared with the cell's smallest one. Cells whose classes
-aren't all connected by then are searched: the classes' n-grams are counted by hash into
+aren't all connected by then are searched, those with classes in common together: the classes' n-grams are counted by hash into
 coordinates, a tree of boxes over these points bounds every overlap by the sum of the smaller
 coordinates, and the pairs that survive are compared exactly, except those already connected.
 Links therefore come out complete up to connection, without all pairs of a group of copies.
@@ -37,8 +37,8 @@ from millrace.llm.travel import compressed, opened
 COORDINATES = 64
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
-CHUNK = 256  # classes of a cell compared with as many others at once
-TASK_ROWS = 2048  # rows of open cells in a group, on average
+CHUNK = 256  # classes of a cluster compared with as many others at once
+TASK_ROWS = 2048  # classes of clusters in a task, on average
 SEED = 0xA24BAED4963EE407
 NO_ID = -(1 << 63)
 
@@ -239,59 +239,70 @@ def _map_grams(docs: DataFrame, sim: Similarity) -> DataFrame:
             )
 
     found = docs.mapInArrow(rows, "class bigint, grams array<bigint>, points array<int>")
-    return found.dropDuplicates(["class"])
+    return found.dropDuplicates(["class"]).withColumn("n", F.size("grams"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs (a, b) of classes that are similar; bounded first, then compared exactly."""
-    left = sets.select(F.col("class").alias("a"), F.col("grams").alias("ga"), F.col("points").alias("pa"))
-    right = sets.select(F.col("class").alias("b"), F.col("grams").alias("gb"), F.col("points").alias("pb"))
-    both = pairs.join(left, "a").join(right, "b")
-    enough = F.lit(sim.num + sim.den), sim.num * (F.size("ga") + F.size("gb"))
-    bound = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    bounded = both.where(bound * enough[0] >= enough[1])
-    common = F.size(F.array_intersect("ga", "gb"))
-    return bounded.where(common * enough[0] >= enough[1]).select("a", "b")
+    each, least = F.lit(sim.num + sim.den), F.lit(sim.num)
+
+    def beside(rows: DataFrame, *columns: str) -> DataFrame:
+        for side in ("a", "b"):
+            named = [F.col(c).alias(f"{c}_{side}") for c in columns]
+            rows = rows.join(sets.select(F.col("class").alias(side), *named), side)
+        return rows
+
+    smaller = F.zip_with("points_a", "points_b", lambda x, y: F.least(x, y))
+    bound = F.aggregate(smaller, F.lit(0), lambda s, x: s + x)
+    sizes = beside(pairs, "points", "n")
+    near = sizes.where(bound * each >= least * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    total = F.size("grams_a") + F.size("grams_b")
+    return beside(near, "grams").where(common * each >= least * total).select("a", "b")
 
 
 def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Links (a, b) in cells (sig, class) of which the known (node, root) leave some apart."""
-    placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left").select(
-        "sig", "class", F.coalesce("root", "class").alias("label")
-    )
-    placed = stored(placed)
-    total = F.sum(F.xxhash64("class").cast("decimal(38,0)"))
+    """Links (a, b) in cells (sig, class) of which the known (node, root) leave some apart.
+
+    Cells with a class in common are searched as one cluster, so that sets are sent once however
+    many cells they share; a large cluster is cut into chunks that are compared two by two.
+    """
+    placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
+    placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
     state = placed.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("label").alias("low"),
         F.max("label").alias("high"),
-        total.alias("total"),
+        F.min("class").alias("b"),
+    )
+    apart = state.where("n > 2 and low < high").select("sig", "b")
+    stars = cells.join(apart, "sig").select(F.col("class").alias("a"), "b")
+    clusters = stored(components(stars).withColumnRenamed("root", "cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    labelled = clusters.join(known, "node", "left").select(
+        "cluster", F.col("node").alias("class"), F.coalesce("root", "node").alias("label")
     )
-    once = state.where("n > 2 and low < high").groupBy("n", "total").agg(F.min("sig").alias("sig"))
-    parts = F.ceil(F.col("n") / CHUNK)
     own = F.pmod(F.xxhash64("class"), F.col("parts"))
-    rows = placed.join(once.select("sig", parts.alias("parts")), "sig").withColumn("own", own)
     turn = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
-    rows = rows.withColumn("other", turn).select(
-        "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "label"
-    )
-    rows = stored(rows)
+    rows = labelled.join(sizes, "cluster").withColumn("own", own).withColumn("other", turn)
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    rows = stored(rows.select("cluster", i, j, "class", "label"))
     tasks = max(1, ceil(rows.count() / TASK_ROWS))
-    task = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(tasks)).alias("task")
+    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)).alias("task")
     loaded = rows.join(sets.select("class", "grams"), "class").select(
-        task, "sig", "i", "j", "class", "label", "grams"
+        task, "cluster", "i", "j", "class", "label", "grams"
     )
 
     def links(table: pa.Table) -> pa.Table:
-        cells: dict[tuple, list[int]] = defaultdict(list)
-        keys = zip(*(table[c].to_pylist() for c in ("sig", "i", "j")))
+        parts: dict[tuple, list[int]] = defaultdict(list)
+        keys = zip(*(table[c].to_pylist() for c in ("cluster", "i", "j")))
         for row, key in enumerate(keys):
-            cells[key].append(row)
+            parts[key].append(row)
         names, labels = table["class"].to_pylist(), table["label"].to_pylist()
         sets = [np.array(g.values).view(np.uint64) for g in table["grams"]]
         found = [
             link
-            for rows in cells.values()
+            for rows in parts.values()
             for link in cell_links(
                 [names[r] for r in rows], [labels[r] for r in rows], [sets[r] for r in rows], sim
             )
