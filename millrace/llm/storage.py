@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 import millrace
@@ -39,7 +40,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def _drop(spark: SparkSession, folder: str) -> None:
-    if not spark.sparkContext._jsc.sc().isStopped():
+    if SparkContext._active_spark_context is spark.sparkContext:  # else its storage is gone
         remove(spark, folder)
 
 
