@@ -5,11 +5,12 @@ at most k n-grams, k following from their sizes, so if n-grams are dealt by hash
 groups, some group is the same in both. Classes are brought together by equal groups, within
 ranges of sizes, which no unrelated texts share.
 
-In each such cell every class is first compared with the cell's smallest one. Cells whose classes
-aren't all connected by then are searched, those with classes in common together: the classes' n-grams are counted by hash into
-coordinates, a tree of boxes over these points bounds every overlap by the sum of the smaller
-coordinates, and the pairs that survive are compared exactly, except those already connected.
-Links therefore come out complete up to connection, without all pairs of a group of copies.
+In each such cell every class is first compared with the one that shares most cells with others. The
+classes of cells that aren't all connected by then are dealt anew, by their rarest n-grams, and
+searched in these smaller cells: n-grams are counted by hash into coordinates, boxes over these
+points bound every overlap by the sum of the smaller coordinates, and the pairs that survive are
+compared exactly, except those already connected. Links therefore come out complete up to
+connection, without all pairs of a group of copies.
 
 N-grams and sets are told apart by hashes of 64 bits. Null and empty texts and texts without words
 have no n-grams and are linked with nothing; a text of fewer words than n is one n-gram. Rows of
@@ -261,32 +262,70 @@ def _compared(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     return beside(near, "grams").where(common * each >= least * total).select("a", "b")
 
 
+def _weighty(cells: DataFrame) -> DataFrame:
+    """(sig, b): of each cell the class that shares most with others, as an original does."""
+    sizes = cells.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    weights = cells.join(sizes, "sig").groupBy("class").agg(F.sum("size").alias("weight"))
+    order = F.struct("weight", "class")
+    return cells.join(weights, "class").groupBy("sig").agg(F.max_by("class", order).alias("b"))
+
+
+def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """Cells (sig, class, label) by the rarest n-grams of each class.
+
+    With all n-grams in one order, similar sets share one among the first that are more than they
+    may differ in; in the order of their counts, near copies share few of these but with the
+    copies that have hardly any of their own.
+    """
+    grams = apart.join(sets.select("class", "n", "grams"), "class")
+    each = stored(grams.select("class", "label", "n", F.explode("grams").alias("gram")))
+    counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    ranked = each.join(counts, "gram", "left").groupBy("class", "label", "n").agg(
+        F.sort_array(
+            F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("count"), "gram"))
+        ).alias("grams")
+    )
+    smallest = f"((n * {sim.num} + {sim.den - 1}) div {sim.den})"
+    each_way = sim.num + sim.den
+    common = f"(((n + {smallest}) * {sim.num} + {each_way - 1}) div {each_way})"
+    first = F.slice("grams", F.lit(1), F.expr(f"cast(least(n, n - {common} + 1) as int)"))
+    return (
+        ranked.select("class", "label", F.explode(first).alias("g"))
+        .where("g.count > 1")
+        .select(F.col("g.gram").alias("sig"), "class", "label")
+    )
+
+
 def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     """Links (a, b) in cells (sig, class) of which the known (node, root) leave some apart.
 
-    Cells with a class in common are searched as one cluster, so that sets are sent once however
-    many cells they share; a large cluster is cut into chunks that are compared two by two.
+    Their classes are dealt anew by rare n-grams. In a cell of these, the classes of the commonest
+    label aren't compared with each other; all others are, and with those, in chunks.
     """
     placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
     state = placed.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.min("class").alias("b"),
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    wide = state.where("n > 2 and low < high").select("sig")
+    apart = placed.join(wide, "sig").select("class", "label").distinct()
+    dealt = stored(_rare_cells(apart, sets, sim))
+    counts = dealt.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("sig").agg(
+        F.max_by("label", F.struct("n", "label")).alias("top"),
+        F.ceil(F.max("n") / CHUNK).alias("top_parts"),
+        F.ceil((F.sum("n") - F.max("n")) / CHUNK).alias("parts"),
     )
-    apart = state.where("n > 2 and low < high").select("sig", "b")
-    stars = cells.join(apart, "sig").select(F.col("class").alias("a"), "b")
-    clusters = stored(components(stars).withColumnRenamed("root", "cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
-    labelled = clusters.join(known, "node", "left").select(
-        "cluster", F.col("node").alias("class"), F.coalesce("root", "node").alias("label")
+    parted = dealt.join(sizes.where("parts > 0"), "sig").withColumn("hash", F.xxhash64("class"))
+    is_top = F.col("label") == F.col("top")
+    own = F.when(is_top, F.col("parts") + F.pmod("hash", "top_parts")).otherwise(
+        F.pmod("hash", "parts")
     )
-    own = F.pmod(F.xxhash64("class"), F.col("parts"))
-    turn = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
-    rows = labelled.join(sizes, "cluster").withColumn("own", own).withColumn("other", turn)
+    facing = F.col("parts") + F.when(is_top, 0).otherwise(F.col("top_parts"))
+    turn = F.explode(F.sequence(F.lit(0).cast("bigint"), facing - 1))
+    rows = parted.withColumn("own", own).withColumn("other", turn)
     i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    rows = stored(rows.select("cluster", i, j, "class", "label"))
+    rows = stored(rows.select(F.col("sig").alias("cluster"), i, j, "class", "label"))
     tasks = max(1, ceil(rows.count() / TASK_ROWS))
     task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)).alias("task")
     loaded = rows.join(sets.select("class", "grams"), "class").select(
@@ -326,7 +365,7 @@ def similar_documents(
     short = F.shiftright("sig", 16)  # 48 bits, narrower to count; a superset will do
     repeated = sigs.groupBy(short.alias("short")).count().where("count > 1").select("short")
     cells = stored(sigs.join(repeated, short == F.col("short")).select("sig", "class").distinct())
-    leaders = cells.groupBy("sig").agg(F.min("class").alias("b"))
+    leaders = _weighty(cells)
     pairs = stored(
         cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()
     )

@@ -2,12 +2,14 @@
 
 import re
 from collections import Counter, defaultdict
+from random import Random
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm import jaccard
 from millrace.llm.bpe import bpe_decode, bpe_encode, token_count
 from millrace.llm.components import components
 from millrace.llm.counts import count_tokens
@@ -135,6 +137,36 @@ def test_components_are_those_of_all_pairs(spark, docs, sim):
     assert similar_documents(docs, sim).count() == docs.count()
 
 
+def test_copies_apart_are_searched_in_small_cells(spark, monkeypatch):
+    """Few pairs meet in a chunk, though half of the group is linked with nothing."""
+    random = Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 300):
+        places = set(random.sample(range(150), random.choice([1, 2, 7, 8, 9])))
+        rows.append((k, " ".join(f"n{k}x{i}" if i in places else w for i, w in enumerate(base))))
+    # two linked with each other only
+    twin = rows[-1][1].split()
+    rows += [(300, " ".join([*twin[:60], *twin[61:]])), (301, " ".join([*twin[:90], *twin[91:]]))]
+    sent = []
+    through = jaccard.stored
+
+    def spied(df):
+        kept = through(df)
+        if "cluster" in df.columns:
+            met = kept.groupBy("cluster", "i", "j").count()
+            sent.append(met.agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0)
+        return kept
+
+    monkeypatch.setattr(jaccard, "stored", spied)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sim = Similarity(3, 9, 10)
+    found = {i: (r["n_shingles"], r["component_id"]) for i, r in collected(similar_documents(frame, sim)).items()}
+    assert found == linked(rows, 3, 9, 10)
+    assert len({c for _, c in found.values()}) > 100
+    assert sum(sent) < 300 * 300 / 2  # all pairs of the group, each once
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
@@ -185,7 +217,7 @@ def test_mix_meets_its_targets(spark, docs):
 def test_search_is_exact_with_ties(spark):
     rows = [(i, [((i * j) % 17 - 8) / 9 for j in range(1, 9)]) for i in range(300)]
     rows += [(300 + i, rows[50][1]) for i in range(20)]
-    rows += [(400, None), (450, [1.0, None] + [0.0] * 6), (500, [float("nan")] * 8), rows[3]]
+    rows += [(300, None), (450, [1.0, None] + [0.0] * 6), (500, [float("nan")] * 8), rows[3]]
     frame = spark.createDataFrame(rows, "id long, embedding array<float>")
     vectors = frame.select("id", whole_vectors(F.col("embedding"), 256).alias("vec"))
     whole = {r["id"]: r["vec"] for r in vectors.where("vec is not null").collect()}
