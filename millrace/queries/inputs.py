@@ -77,9 +77,10 @@ def header_columns() -> list[Column]:
 def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Orders with their lines nested, and once more as bare headers with no lines.
 
-    Lines are gathered per order and page of the scan. A page has a bounded number of rows, so
-    no array outgrows it: an order with very many lines becomes several documents, in several
-    tasks. The inner join lets adaptive execution split such an order on the side of its pages.
+    An order's lines are gathered in one document, except those of an order with more than a page
+    holds: these are gathered per page of the scan, so that no array outgrows a page and the order
+    becomes several documents, in several tasks. The inner join lets adaptive execution split such
+    an order on the side of its pages.
     ``lines`` must come straight from files, where a lost task that runs again numbers its rows
     as before.
     """
@@ -90,11 +91,15 @@ def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("ItemQty"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("TotalValue"),
     )
-    paged = lines.select(
+    placed = lines.select(
         "l_orderkey",
-        F.shiftright(F.monotonically_increasing_id(), PAGE_BITS).alias("page"),
+        F.shiftright(F.monotonically_increasing_id(), PAGE_BITS).alias("place"),
         line.alias("line"),
-    )
+    ).where("l_orderkey is not null")
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    long = counts.where(F.col("n") > 1 << PAGE_BITS)
+    page = F.when(F.col("n").isNotNull(), F.col("place")).alias("page")
+    paged = placed.join(long, "l_orderkey", "left").select("l_orderkey", page, "line")
     pages = paged.groupBy("l_orderkey", "page").agg(
         F.collect_list("line").alias("InvoiceLineItems")
     )
@@ -137,14 +142,22 @@ def key_value(log: DataFrame) -> DataFrame:
 
 
 def time_waves(events: DataFrame, waves: int = MICRO_BATCHES) -> list[DataFrame]:
-    """Events cut by time into slices of equal length; each is a filter on the scan."""
+    """Events cut by time into slices of equal length; each is a filter on the scan.
+
+    Events without a time are in the first.
+    """
     low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return [events, *[events.where(F.lit(False))] * (waves - 1)]
     cuts = [low + (high - low) / waves * i for i in range(1, waves)]
     bounds = [None, *[F.lit(str(c)).cast("timestamp_ntz") for c in cuts], None]
     slices = []
     for start, end in zip(bounds, bounds[1:]):
         part = events if start is None else events.where(F.col("ts") >= start)
-        slices.append(part if end is None else part.where(F.col("ts") < end))
+        if end is not None:
+            early = F.col("ts") < end
+            part = part.where(early | F.col("ts").isNull() if start is None else early)
+        slices.append(part)
     return slices
 
 
