@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from millrace.schemas import EVENT_TIME_FORMAT, WORD_PATTERN
 
+EXACT_MONEY = "decimal(28,6)"
+
 
 def clean_word(word: str | Column) -> Column:
     """Lower-cased word without surrounding spaces. Other white space stays."""
@@ -32,9 +34,10 @@ def decode_json(payload: str | Column, schema: T.StructType | str) -> Column:
 
 
 def exact_money(amount: str | Column) -> Column:
-    """Amount in whole cents as a decimal.
+    """Amount as a decimal, exact to a millionth and up to 10 ** 22.
 
-    Sums of it do not depend on the order in which partitions arrive; sums of doubles do.
+    Sums of it do not depend on the order in which partitions arrive; sums of doubles do. A larger
+    amount is an error under Spark's default ANSI mode, not a wrong sum.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return amount.cast("decimal(18,2)")
+    return amount.cast(EXACT_MONEY)

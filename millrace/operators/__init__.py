@@ -1,12 +1,17 @@
 from millrace.operators.invoices import line_items
 from millrace.operators.logs import (
+    checked_log,
     decode_log,
     distinct_records,
+    fingerprint,
     latest_per_key,
+    newest_rows,
     sensor_readings,
     split_malformed,
+    trade_columns,
     trades,
 )
+from millrace.operators.nesting import nested
 from millrace.operators.reports import (
     peek,
     row_count,
@@ -22,11 +27,15 @@ from millrace.operators.words import tokens, word_count
 
 __all__ = [
     "as_double",
+    "checked_log",
     "decode_log",
     "distinct_records",
+    "fingerprint",
     "latest_per_key",
     "line_items",
     "merge_into",
+    "nested",
+    "newest_rows",
     "peek",
     "rewards",
     "row_count",
@@ -37,6 +46,7 @@ __all__ = [
     "split_malformed",
     "tokens",
     "total_with_prefix",
+    "trade_columns",
     "trade_summary",
     "trades",
     "upsert",

@@ -5,19 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-INVOICE_COLUMNS = (
-    "InvoiceNumber",
-    "CreatedTime",
-    "StoreID",
-    "PosID",
-    "CustomerType",
-    "PaymentMethod",
-    "DeliveryType",
-    "DeliveryAddress.City",
-    "DeliveryAddress.State",
-    "DeliveryAddress.PinCode",
-)
-
+from millrace.schemas import INVOICE_COLUMNS
 
 def line_items(invoices: DataFrame) -> DataFrame:
     """One flat row per line item. An invoice with no or null line items gives none."""

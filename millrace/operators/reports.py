@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.schemas import CLOCK_FORMAT, EVENT_TIME_FORMAT
+from millrace.session import SHUFFLE_PARTITIONS_CONF
+
+CUT_ACCURACY = 100_000  # ranks of the cuts are right to this part of all rows
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -44,32 +47,46 @@ def running_totals(
     columns: Sequence[str],
     order: str = "end",
     partition_by: Sequence[str] = (),
-    bucket: str = "day",
+    bucket: str | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running sums of ``columns`` by time, one row per time (and partition).
 
     Rows of equal time are peers and count together, as in the default frame of an ordered
-    window. A plain ordered window without partitions would bring every row to one task. Here
-    rows first fold to one per time, then run inside buckets of time in parallel; only the
-    bucket totals (one row per day, by default) pass through the un-partitioned window, and each
-    bucket's opening balance is joined back to its rows.
+    window; null times come first. A plain ordered window without partitions would bring every row
+    to one task. Here the time axis is cut into ``slices`` ranges that hold equally many rows (by
+    default as many as the session has shuffle partitions), rows run inside their range in
+    parallel, only the totals of the ranges pass through an un-partitioned window, at most one row
+    per range, and each range's opening balance is joined back to its rows.
+
+    ``bucket``, a unit such as ``"day"``, keeps the rows of one unit in one range.
     """
-    keys = [*partition_by, "_bucket"]
+    spark = df.sparkSession
+    count = slices or int(spark.conf.get(SHUFFLE_PARTITIONS_CONF))
+    at = F.date_trunc(bucket, order) if bucket else F.col(order)
+    shares = [i / count for i in range(count)]
+    cuts = df.agg(F.percentile_approx(at, shares, CUT_ACCURACY)).scalar()
+    number = F.size(F.filter("_cuts", lambda cut: cut <= at))
+    keys = [*partition_by, "_slice"]
     points = (
         df.groupBy(*partition_by, order)
         .agg(*[F.sum(name).alias(name) for name in columns])
-        .withColumn("_bucket", F.date_trunc(bucket, order))
+        .withColumn("_cuts", F.array_distinct(cuts))
+        .withColumn("_slice", number)
+        .drop("_cuts")
     )
     inside = Window.partitionBy(*keys).orderBy(order)
     local = points.withColumns({name: F.sum(name).over(inside) for name in columns})
 
-    before = Window.partitionBy(*partition_by).orderBy("_bucket")
+    before = Window.partitionBy(*partition_by).orderBy("_slice")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     opening = (
         points.groupBy(*keys)
         .agg(*[F.sum(name).alias(name) for name in columns])
         .select(*keys, *[F.sum(name).over(before).alias(f"_open_{name}") for name in columns])
     )
+    if not partition_by:  # one row per range
+        opening = F.broadcast(opening)
     same = F.lit(True)
     for name in keys:
         same &= F.col(f"l.{name}").eqNullSafe(F.col(f"o.{name}"))
@@ -86,7 +103,7 @@ def running_totals(
 
 
 def running_net(
-    summary: DataFrame, partition_by: Sequence[str] = (), bucket: str = "day"
+    summary: DataFrame, partition_by: Sequence[str] = (), bucket: str | None = None
 ) -> DataFrame:
     """Running bought, sold and net position by window end, labelled with the clock time."""
     totals = running_totals(summary, ["TotalBuy", "TotalSell"], "end", partition_by, bucket)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RULES = ("replace", "accumulate")
+_SIDE, _ALONE = "_side", "_alone"
 
 
 def check_rule(rule: str) -> None:
@@ -27,28 +28,49 @@ def upsert(
     keys: Sequence[str],
     rule: str = "replace",
     null_safe: bool = True,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """``target`` after the rows of ``source`` are merged in by ``keys``.
 
     ``replace`` takes the source row where both have the key, ``accumulate`` adds the other
     columns up (nulls count as nothing); keys of one side only stay as they are. ``target`` has
-    one row per key; ``source`` must too for ``replace`` (see ``latest_per_key``), and may repeat
-    keys for ``accumulate``. Null keys match each other unless ``null_safe`` is false, which is
-    how ``=`` in a SQL merge works.
+    one row per key. If ``source`` repeats a key, ``accumulate`` adds all its rows, and ``replace``
+    takes the row with the highest values of ``order``, columns of the source that the target need
+    not have; without ``order`` the repetition is an error when the result is computed. Null keys
+    match each other unless ``null_safe`` is false, which is how ``=`` in a SQL merge works.
 
-    ``replace`` drops the matched target rows with an anti join, so a source below Spark's
-    broadcast threshold leaves the target unshuffled. ``accumulate`` is one aggregate over both.
+    Either rule reads each side once and is one aggregate over both, folded map-side.
     """
     check_rule(rule)
-    source = source.select(*target.columns)
+    sides = target.withColumn(_SIDE, F.lit(0))
+    added = source.withColumn(_SIDE, F.lit(1))
     if rule == "accumulate":
-        return add_up(target.unionByName(source), keys, null_safe)
-    marked = source.select(*[F.col(name).alias(f"_{i}") for i, name in enumerate(keys)])
-    pairs = [(F.col(name), F.col(f"_{i}")) for i, name in enumerate(keys)]
-    same = reduce(
-        lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+        rows = target.unionByName(source.select(*target.columns))
+        return add_up(rows, keys, null_safe)
+    ranks = [f"_order{i}" for i in range(len(order))]
+    for rank, name in zip(ranks, order):
+        sides = sides.withColumn(rank, F.lit(None).cast(source.schema[name].dataType))
+        added = added.withColumn(rank, F.col(name))
+    rows = sides.unionByName(added.select(*sides.columns))
+    values = [name for name in target.columns if name not in keys]
+    newest = F.max_by(F.struct(*values), F.struct(_SIDE, *ranks)) if values else F.lit(None)
+    repeated = F.lit(False) if order else F.sum(_SIDE) > 1
+    refuse = F.raise_error(F.lit(f"the source has several rows of one key of {list(keys)}"))
+    return _per_key(rows, keys, null_safe, F.when(repeated, refuse).otherwise(newest), values).select(
+        *target.columns
     )
-    return target.join(marked, same, "left_anti").unionByName(source)
+
+
+def _per_key(
+    rows: DataFrame, keys: Sequence[str], null_safe: bool, value: Column, names: Sequence[str]
+) -> DataFrame:
+    """One row per key with the fields of ``value``; a null key is only itself if not null-safe."""
+    alone = F.when(has_null(keys), F.monotonically_increasing_id()) if not null_safe else F.lit(0)
+    groups = rows.withColumn(_ALONE, alone).groupBy(*keys, _ALONE).agg(value.alias("_value"))
+    fields = [F.col("_value")[name].alias(name) for name in names]
+    # Without other columns the value is still asked for, as it may be an error.
+    asked = groups if fields else groups.where(F.col("_value").isNull())
+    return asked.select(*keys, *fields)
 
 
 def add_up(df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
@@ -57,8 +79,8 @@ def add_up(df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFr
     sums = [F.sum(name).cast(df.schema[name].dataType).alias(name) for name in values]
     if null_safe:
         return df.groupBy(*keys).agg(*sums).select(*df.columns)
-    known = df.where(~has_null(keys)).groupBy(*keys).agg(*sums).select(*df.columns)
-    return known.unionByName(df.where(has_null(keys)))
+    alone = F.when(has_null(keys), F.monotonically_increasing_id())
+    return df.withColumn(_ALONE, alone).groupBy(*keys, _ALONE).agg(*sums).select(*df.columns)
 
 
 def merge_into(

@@ -14,14 +14,17 @@ def invoice_lines_stream(
     spark: SparkSession,
     landing: str,
     checkpoint: str,
-    table: str = "invoice_line_items",
+    table: str = "line_items",
     trigger: str | None = "batch",
-    max_files: int | None = 1,
+    max_files: int | None = None,
     path: str | None = None,
+    max_bytes: int | None = None,
+    name: str | None = "invoice-line-items",
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Append the line items of new invoice files to ``table``; a map-only stream.
 
     ``trigger="batch"`` drains the landing folder and stops; an interval keeps the query running.
     """
-    rows = line_items(invoices(spark, landing, stream=True, max_files=max_files))
-    return append(rows, table, checkpoint, trigger, "invoice-line-items", path)
+    source = invoices(spark, landing, stream=True, max_files=max_files, max_bytes=max_bytes)
+    return append(line_items(source), table, checkpoint, trigger, name, path, fmt)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import (
     as_double,
+    checked_log,
     decode_log,
     distinct_records,
     line_items,
@@ -30,6 +31,7 @@ from millrace.queries.inputs import (
     EVENT_PAYLOAD,
     EXACT_TRADE,
     TABLES,
+    damaged_log,
     event_log,
     invoice_headers,
     key_value,
@@ -37,6 +39,7 @@ from millrace.queries.inputs import (
     nested_invoices,
     scratch_table,
 )
+from millrace.queries.inputs import invoice_documents as documents
 from millrace.session import run_dir
 from millrace.sources import (
     csv_rows,
@@ -88,13 +91,11 @@ def order_rewards(spark: SparkSession, sf_dir: str, where: str = "true") -> Data
 
 
 def text_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = sentences(spark, text_files(spark, sf_dir))
-    return pieces.groupBy(F.col("value").alias("sentence")).agg(F.count("*").alias("n"))
+    return sentences(spark, text_files(spark, sf_dir)).select(F.col("value").alias("sentence"))
 
 
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens(load(spark, sf_dir, "documents"), "text", "[. ]", keep=["doc_id"])
-    return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    return tokens(load(spark, sf_dir, "documents"), "text", "[. ]", keep=["doc_id"])
 
 
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +155,19 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_items(nested_invoices(orders, lines))
 
 
+def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem")
+    quantity = F.aggregate(
+        "InvoiceLineItems", F.lit(0).cast("bigint"), lambda total, item: total + item["ItemQty"]
+    )
+    return documents(orders, lines).select(
+        "InvoiceNumber",
+        "PageNumber",
+        F.size("InvoiceLineItems").cast("bigint").alias("n_items"),
+        quantity.alias("quantity"),
+    )
+
+
 def log_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "log")
     event_log(load(spark, sf_dir, "events")).write.parquet(path)
@@ -170,6 +184,21 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_record(decode_log(event_log(load(spark, sf_dir, "events")), EVENT_PAYLOAD))
 
 
+def checked_records(checked: DataFrame) -> DataFrame:
+    """Records with a flag, the payload of the malformed and the fields of the others."""
+    bad = F.col("malformed").isNotNull()
+    fields = [
+        F.when(~bad, F.col("value")[name]).alias(name)
+        for name in checked.schema["value"].dataType.names
+    ]
+    return checked.select("key", "offset", bad.alias("is_malformed"), "malformed", *fields)
+
+
+def log_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = damaged_log(load(spark, sf_dir, "events"))
+    return checked_records(checked_log(log, EVENT_PAYLOAD, keep=["offset"]))
+
+
 def log_from_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "log")
     event_log(load(spark, sf_dir, "events")).write.parquet(path)
@@ -191,6 +220,22 @@ def customer_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(order_rewards(spark, sf_dir))
 
 
+def rewards_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = rewards(invoice_headers(load(spark, sf_dir, "orders")))
+    # The last bits of a sum of doubles depend on its order; amounts have two decimals.
+    return totals.select(
+        "CustomerCardNo",
+        F.round("TotalAmount", 2).alias("TotalAmount"),
+        F.round("TotalPoints", 4).alias("TotalPoints"),
+    )
+
+
+def trade_summary_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_log(load(spark, sf_dir, "events"))
+    summary = trade_summary(trades(log, EXACT_TRADE), slide="5 minutes")
+    return as_double(bounds_as_ntz(summary), TOTALS)
+
+
 def trade_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(bounds_as_ntz(summarised_trades(spark, sf_dir)), TOTALS)
 
@@ -232,6 +277,16 @@ def upsert_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(upsert(old, new, ["CustomerCardNo"], "accumulate"))
 
 
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.lit(None).cast("double").alias("last_price")
+    )
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("last_price"), "o_orderkey"
+    )
+    return upsert(customers, orders, ["custkey"], order=["o_orderkey"])
+
+
 def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
     first = event_log(events)
@@ -251,18 +306,23 @@ QUERIES = {
     "row_count": row_counts,
     "peek_rows": peek_rows,
     "invoice_lines": invoice_lines,
+    "invoice_documents": invoice_documents,
     "log_batch_read": log_batch_read,
     "log_parse": log_parse,
+    "log_malformed": log_malformed,
     "log_from_timestamp": log_from_timestamp,
     "sensor_parse": sensor_parse,
     "trade_parse": trade_parse,
     "rewards": customer_rewards,
+    "rewards_double": rewards_double,
     "trade_summary": trade_summaries,
+    "trade_summary_sliding": trade_summary_sliding,
     "sensor_max_tumbling": sensor_max_tumbling,
     "sensor_max_sliding": sensor_max_sliding,
     "window_lookup": window_lookup,
     "running_net": running_net,
     "upsert_replace": upsert_replace,
     "upsert_accumulate": upsert_accumulate,
+    "upsert_latest": upsert_latest,
     "idempotent_ingest": idempotent_ingest,
 }

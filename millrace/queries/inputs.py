@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import EXACT_MONEY
+from millrace.operators import nested
 from millrace.schemas import BUY, EVENT_TIME_FORMAT, SELL
-from millrace.streaming.folders import count_files
 
 TABLES = (
     "region",
@@ -34,17 +34,15 @@ TABLES = (
 EVENT_PAYLOAD = (
     "CreatedTime string, Type string, Amount double, BrokerCode string, Reading double"
 )
-EXACT_TRADE = "CreatedTime string, Type string, Amount decimal(18,2), BrokerCode string"
+EXACT_TRADE = f"CreatedTime string, Type string, Amount {EXACT_MONEY}, BrokerCode string"
 
-# At most 2 ** 13 lines go into one invoice document.
-PAGE_BITS = 13
-# Rate-limited streams over these inputs take about this many micro-batches at any scale.
-MICRO_BATCHES = 3
+WAVES = 3
+# Of this many events, one has a payload cut short, one an amount in words, one no payload.
+DAMAGE_EVERY = 50
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the test tables; wall-clock columns are read as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -74,38 +72,25 @@ def header_columns() -> list[Column]:
     ]
 
 
-def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Orders with their lines nested, and once more as bare headers with no lines.
-
-    An order's lines are gathered in one document, except those of an order with more than a page
-    holds: these are gathered per page of the scan, so that no array outgrows a page and the order
-    becomes several documents, in several tasks. The inner join lets adaptive execution split such
-    an order on the side of its pages.
-    ``lines`` must come straight from files, where a lost task that runs again numbers its rows
-    as before.
-    """
-    line = F.struct(
+def invoice_documents(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with their lines nested, in several numbered documents if there are very many."""
+    item = F.struct(
         F.col("l_partkey").cast("string").alias("ItemCode"),
         F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("ItemDescription"),
         F.col("l_extendedprice").alias("ItemPrice"),
         F.col("l_quantity").cast("bigint").alias("ItemQty"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("TotalValue"),
     )
-    placed = lines.select(
-        "l_orderkey",
-        F.shiftright(F.monotonically_increasing_id(), PAGE_BITS).alias("place"),
-        line.alias("line"),
-    ).where("l_orderkey is not null")
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    long = counts.where(F.col("n") > 1 << PAGE_BITS)
-    page = F.when(F.col("n").isNotNull(), F.col("place")).alias("page")
-    paged = placed.join(long, "l_orderkey", "left").select("l_orderkey", page, "line")
-    pages = paged.groupBy("l_orderkey", "page").agg(
-        F.collect_list("line").alias("InvoiceLineItems")
-    )
-    full = pages.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    full = full.select(*header_columns(), "InvoiceLineItems")
-    no_lines = F.array().cast(pages.schema["InvoiceLineItems"].dataType)
+    headers = orders.withColumnRenamed("o_orderkey", "l_orderkey")
+    documents = nested(headers, lines, "l_orderkey", item, "InvoiceLineItems", "PageNumber")
+    documents = documents.withColumnRenamed("l_orderkey", "o_orderkey")
+    return documents.select(*header_columns(), "PageNumber", "InvoiceLineItems")
+
+
+def nested_invoices(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with their lines nested, and once more as bare headers with no lines."""
+    full = invoice_documents(orders, lines).drop("PageNumber")
+    no_lines = F.array().cast(full.schema["InvoiceLineItems"].dataType)
     bare = orders.select(*header_columns(), no_lines.alias("InvoiceLineItems"))
     return full.unionByName(bare)
 
@@ -136,12 +121,26 @@ def event_log(events: DataFrame, topic: str = "events", replay: int = 0) -> Data
     )
 
 
+def damaged_log(events: DataFrame) -> DataFrame:
+    """The event log with some payloads cut short, of the wrong type, or missing."""
+    log = event_log(events)
+    nth = F.pmod("offset", F.lit(DAMAGE_EVERY))
+    text = F.col("value").cast("string")
+    spoilt = (
+        F.when(nth == 0, F.substring(text, 1, 20))
+        .when(nth == 1, F.regexp_replace(text, '"Amount":[^,]*', '"Amount":"much"'))
+        .when(nth == 2, F.lit(None))
+        .otherwise(text)
+    )
+    return log.withColumn("value", spoilt.cast("binary"))
+
+
 def key_value(log: DataFrame) -> DataFrame:
     """Key and value of a log as text, the form of a stored log table."""
     return log.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-def time_waves(events: DataFrame, waves: int = MICRO_BATCHES) -> list[DataFrame]:
+def time_waves(events: DataFrame, waves: int = WAVES) -> list[DataFrame]:
     """Events cut by time into slices of equal length; each is a filter on the scan.
 
     Events without a time are in the first.
@@ -161,11 +160,6 @@ def time_waves(events: DataFrame, waves: int = MICRO_BATCHES) -> list[DataFrame]
     return slices
 
 
-def third_of_files(spark: SparkSession, path: str) -> int:
-    """Files per trigger that read a folder in about three micro-batches."""
-    return max(1, ceil(count_files(spark, path) / MICRO_BATCHES))
-
-
 @contextmanager
 def scratch_table(spark: SparkSession) -> Iterator[str]:
     """Name of a catalog table that goes away with the block; files at its path stay."""

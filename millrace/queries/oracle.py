@@ -112,12 +112,52 @@ SENSOR_SLIDING = """
     group by 1, 2
 """
 
+# Every 50th payload is cut short, the one after it has an amount in words, the next is missing.
+MALFORMED = f"""
+    with log as (
+        select event_id, ts, cast(user_id as varchar) as "key", event_id % 50 as nth,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') as at_time, {TRADE_TYPE} as kind, value, event_type,
+               '{{{{"CreatedTime":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","Type":"' || {TRADE_TYPE}
+                   || '","Amount":' as head,
+               ',"BrokerCode":"' || event_type || '","Reading":' || cast(value as varchar) || '}}}}'
+                   as tail
+        from events)
+    select "key", event_id as "offset", nth < 2 as is_malformed,
+           case nth when 0 then substr(head, 1, 20) when 1 then head || '"much"' || tail end
+               as malformed,
+           case when nth > 2 then at_time end as "CreatedTime",
+           case when nth > 2 then kind end as "Type",
+           case when nth > 2 then value end as "Amount",
+           case when nth > 2 then event_type end as "BrokerCode",
+           case when nth > 2 then value end as "Reading"
+    from log
+""".replace("{{", "{").replace("}}", "}")
+
+OBSERVED = """
+    with bounds as (select epoch_us(min(ts)) as low, epoch_us(max(ts)) as high from events),
+    waves as (
+        select ts, event_id % 50 as nth,
+               ts is null or epoch_us(ts) < low + round((high - low) / 3.0) as is_first
+        from events, bounds),
+    reached as (
+        select max(date_trunc('second', ts)) - interval 30 minutes as watermark
+        from waves where not is_first and nth > 2),
+    marked as (
+        select *, coalesce(is_first and nth > 2 and
+                  time_bucket(interval 15 minutes, ts) + interval 15 minutes <= watermark, false)
+                  as is_late
+        from waves, reached)
+    select count(*) as rows_in, count(*) filter (nth < 2) as malformed,
+           count(*) filter (nth = 2 or (nth > 2 and ts is null)) as untimed,
+           count(*) filter (nth > 2 and ts is not null and not is_late) as counted,
+           count(*) filter (is_late) as late
+    from marked
+"""
+
 ORACLE = {
     "text_sentences": """
-        select sentence, count(*) as n
-        from (select unnest(string_split("text", '.')) as sentence from documents)
-        group by sentence""",
-    "word_tokens": f"select doc_id, word, count(*) as n from ({WORDS}) group by doc_id, word",
+        select unnest(string_split("text", '.')) as sentence from documents""",
+    "word_tokens": WORDS,
     "word_count": WORD_COUNT,
     "word_count_overwrite": WORD_COUNT,
     "words_with_prefix": f"""
@@ -135,7 +175,12 @@ ORACLE = {
     ),
     "peek_rows": "select * from orders order by o_orderkey limit 10",
     "invoice_lines": INVOICE_LINES,
+    "invoice_documents": """
+        select cast(o_orderkey as varchar) as "InvoiceNumber", cast(1 as bigint) as "PageNumber",
+               count(*) as n_items, cast(sum(cast(l_quantity as bigint)) as bigint) as quantity
+        from orders join lineitem on o_orderkey = l_orderkey group by o_orderkey""",
     "log_batch_read": LOG_BATCH,
+    "log_malformed": MALFORMED,
     "log_parse": LOG_PARSE,
     "log_from_timestamp": f"{LOG_PARSE} where ts >= timestamp '2024-01-15 00:00:00'",
     "sensor_parse": """
@@ -149,7 +194,23 @@ ORACLE = {
                case when event_type = 'click' then value else 0 end as "Sell"
         from events""",
     "rewards": REWARDS,
+    "rewards_double": """
+        select cast(o_custkey as varchar) as "CustomerCardNo",
+               round(sum(o_totalprice), 2) as "TotalAmount",
+               round(sum(o_totalprice * cast(0.02 as double)), 4) as "TotalPoints"
+        from orders group by o_custkey""",
     "trade_summary": TRADE_SUMMARY,
+    "trade_summary_sliding": """
+        select "start", "start" + interval 15 minutes as "end",
+               cast(sum(case when event_type = 'purchase' then amount else 0 end) as double)
+                   as "TotalBuy",
+               cast(sum(case when event_type = 'click' then amount else 0 end) as double)
+                   as "TotalSell"
+        from (select event_type, cast(value as decimal(18,2)) as amount,
+                     unnest([bucket, bucket - interval 5 minutes, bucket - interval 10 minutes])
+                         as "start"
+              from (select *, time_bucket(interval 5 minutes, ts) as bucket from events))
+        group by 1""",
     "sensor_max_tumbling": SENSOR_TUMBLING,
     "sensor_max_sliding": SENSOR_SLIDING,
     "window_lookup": f"""
@@ -177,6 +238,11 @@ ORACLE = {
         from (select * from sides where is_new) n
         full join (select * from sides where not is_new) o on n.card = o.card""",
     "upsert_accumulate": REWARDS,
+    "upsert_latest": """
+        select coalesce(c_custkey, o_custkey) as custkey, price as last_price
+        from customer
+        full join (select o_custkey, max_by(o_totalprice, o_orderkey) as price
+                   from orders group by 1) on c_custkey = o_custkey""",
     "idempotent_ingest": IDEMPOTENT,
     "stream_word_count": WORD_COUNT,
     "stream_invoice_lines": INVOICE_LINES,
@@ -194,4 +260,16 @@ ORACLE = {
         select * from ({SENSOR_TUMBLING})
         where "end" <= (select max(date_trunc('second', ts)) from events) - interval 30 minutes""",
     "stream_inserted_rows": TRADE_SUMMARY,
+    "stream_log_checked": MALFORMED,
+    "stream_trade_update": TRADE_SUMMARY,
+    "stream_sensor_update": SENSOR_SLIDING,
+    "stream_trade_append": f"""
+        select * from ({TRADE_SUMMARY})
+        where "end" <= (select max(date_trunc('second', ts)) from events) - interval 30 minutes""",
+    "stream_state_readback": f"""
+        select w.*, watermark
+        from ({SENSOR_TUMBLING}) w,
+             (select max(date_trunc('second', ts)) - interval 30 minutes as watermark from events)
+        where "end" > watermark""",
+    "stream_observed_counts": OBSERVED,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,64 +10,66 @@ from millrace.plans import (
     accumulate_store,
     bronze_invoices,
     closed_sensor_windows,
+    closed_trade_windows,
     idempotent_store,
+    ingest_checked,
     ingest_idempotent,
     ingest_log,
     invoice_lines_stream,
+    observed_trades,
     rewards_accumulated,
     rewards_complete,
     rewards_store,
     rewards_updated,
     sensor_maximum_stream,
     trade_summary_stream,
+    updated_sensor_windows,
+    updated_trade_windows,
+    updated_windows,
+    window_store,
     word_count_stream,
 )
-from millrace.queries.batch import REPLAY_START_MS, TOTALS, bounds_as_ntz, flat_record
+from millrace.queries.batch import (
+    REPLAY_START_MS,
+    TOTALS,
+    bounds_as_ntz,
+    checked_records,
+    flat_record,
+)
 from millrace.queries.inputs import (
     EVENT_PAYLOAD,
     EXACT_TRADE,
     by_year,
+    damaged_log,
     event_log,
     invoice_headers,
     key_value,
     load,
     nested_invoices,
     scratch_table,
-    third_of_files,
     time_waves,
 )
-from millrace.schemas import LOG_TABLE
-from millrace.session import rocksdb_state, run_dir, state_partitions
+from millrace.schemas import INVOICE_COLUMNS, ITEM_COLUMNS, LOG_TABLE
+from millrace.session import rocksdb_state, run_dir
 from millrace.sources import envelope_files, from_timestamp, table
-from millrace.streaming import Snapshots
-from millrace.streaming.folders import total_bytes
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-ITEM_COLUMNS = [
-    "InvoiceNumber",
-    "CreatedTime",
-    "StoreID",
-    "PosID",
-    "CustomerType",
-    "PaymentMethod",
-    "DeliveryType",
-    "City",
-    "State",
-    "PinCode",
-    "ItemCode",
-    "ItemDescription",
-    "ItemPrice",
-    "ItemQty",
-    "TotalValue",
-]
+from millrace.streaming import Snapshots, listening, state_rows, watermark
+
+# Bounds of a micro-batch, whatever there is to read.
+TEXT_BYTES = 16 << 20
+PARQUET_BYTES = 2 << 20
+
+LINE_COLUMNS = [*(name.split(".")[-1] for name in INVOICE_COLUMNS), *ITEM_COLUMNS]
+
+def balanced(df: DataFrame, folder: str) -> DataFrame:
+    """Rows of one folder together, in as many tasks as they fill; not a file per task and folder."""
+    return df.hint("rebalance", F.col(folder))
 
 
 def landed_invoices(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Nested invoices as JSON files in folders by year."""
     path = f"{root}/landing"
     nested = nested_invoices(load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem"))
-    by_year(nested).write.partitionBy("year").json(path)
+    balanced(by_year(nested), "year").write.partitionBy("year").json(path)
     return path
 
 
@@ -77,7 +77,7 @@ def landed_headers(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Invoices without line items as JSON files in folders by year."""
     path = f"{root}/landing"
     headers = by_year(invoice_headers(load(spark, sf_dir, "orders")))
-    headers.write.partitionBy("year").json(path)
+    balanced(headers, "year").write.partitionBy("year").json(path)
     return path
 
 
@@ -85,7 +85,8 @@ def landed_log(spark: SparkSession, sf_dir: str, root: str) -> str:
     """The event log as envelope files in folders by day."""
     path = f"{root}/log"
     log = event_log(load(spark, sf_dir, "events"))
-    log.withColumn("day", F.to_date("timestamp")).write.partitionBy("day").parquet(path)
+    days = log.withColumn("day", F.to_date("timestamp"))
+    balanced(days, "day").write.partitionBy("day").parquet(path)
     return path
 
 
@@ -93,10 +94,9 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_word_count")
     text, result = f"{root}/text", Snapshots(f"{root}/counts")
     texts = load(spark, sf_dir, "documents").select("text", "lang")
-    texts.write.partitionBy("lang").option("lineSep", ".").text(text)
-    limit = third_of_files(spark, text)
+    balanced(texts, "lang").write.partitionBy("lang").option("lineSep", ".").text(text)
     word_count_stream(
-        spark, text, result.save, f"{root}/checkpoint", "batch", limit
+        spark, text, result.save, f"{root}/checkpoint", "batch", max_bytes=TEXT_BYTES
     ).awaitTermination()
     return result.read(spark)
 
@@ -104,28 +104,26 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_invoice_lines")
     landing, items = landed_invoices(spark, sf_dir, root), f"{root}/items"
-    limit = third_of_files(spark, landing)
     with scratch_table(spark) as name:
         invoice_lines_stream(
-            spark, landing, f"{root}/checkpoint", name, "batch", limit, items
+            spark, landing, f"{root}/checkpoint", name, "batch", path=items, max_bytes=TEXT_BYTES
         ).awaitTermination()
-    return spark.read.parquet(items).select(*ITEM_COLUMNS)
+    return spark.read.parquet(items).select(*LINE_COLUMNS)
 
 
 def running_invoice_lines(spark: SparkSession, sf_dir: str, trigger: str | None) -> DataFrame:
     """Line items from a query that would run on, stopped when it has caught up."""
     root = run_dir(spark, "running_invoice_lines")
     landing, items = landed_invoices(spark, sf_dir, root), f"{root}/items"
-    limit = third_of_files(spark, landing)
     with scratch_table(spark) as name:
         query = invoice_lines_stream(
-            spark, landing, f"{root}/checkpoint", name, trigger, limit, items
+            spark, landing, f"{root}/checkpoint", name, trigger, path=items, max_bytes=TEXT_BYTES
         )
         try:
             query.processAllAvailable()
         finally:
             query.stop()
-    return spark.read.parquet(items).select(*ITEM_COLUMNS)
+    return spark.read.parquet(items).select(*LINE_COLUMNS)
 
 
 def stream_default_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +137,7 @@ def stream_interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_log_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_log_to_bronze")
     path, bronze = landed_log(spark, sf_dir, root), f"{root}/bronze"
-    log = envelope_files(spark, path, stream=True, max_files=third_of_files(spark, path))
+    log = envelope_files(spark, path, stream=True, max_bytes=PARQUET_BYTES)
     with scratch_table(spark) as name:
         ingest_log(
             log, f"{root}/checkpoint", name, EVENT_PAYLOAD, "batch", bronze
@@ -180,11 +178,11 @@ def stream_rewards_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_table(spark) as bronze:
         bronze_invoices(
             spark, landing, f"{root}/bronze_checkpoint", bronze, "batch",
-            third_of_files(spark, landing), f"{root}/bronze",
+            path=f"{root}/bronze", max_bytes=TEXT_BYTES,
         ).awaitTermination()
         rewards_complete(
             spark, bronze, result.save, f"{root}/checkpoint", "batch",
-            third_of_files(spark, f"{root}/bronze"), exact=True,
+            exact=True, max_bytes=PARQUET_BYTES,
         ).awaitTermination()
     return as_double(result.read(spark))
 
@@ -195,11 +193,11 @@ def stream_rewards_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_table(spark) as bronze, rocksdb_state(spark):
         bronze_invoices(
             spark, landing, f"{root}/bronze_checkpoint", bronze, "batch",
-            third_of_files(spark, landing), f"{root}/bronze",
+            path=f"{root}/bronze", max_bytes=TEXT_BYTES,
         ).awaitTermination()
         rewards_updated(
             spark, bronze, store.apply, f"{root}/checkpoint", "batch",
-            third_of_files(spark, f"{root}/bronze"), exact=True,
+            exact=True, max_bytes=PARQUET_BYTES,
         ).awaitTermination()
     return as_double(store.read(spark))
 
@@ -211,11 +209,11 @@ def stream_rewards_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_table(spark) as bronze:
         bronze_invoices(
             spark, landing, f"{root}/bronze_checkpoint", bronze, "batch",
-            third_of_files(spark, landing), f"{root}/bronze",
+            path=f"{root}/bronze", max_bytes=TEXT_BYTES,
         ).awaitTermination()
         rewards_accumulated(
             spark, bronze, store.apply, f"{root}/checkpoint", "batch",
-            third_of_files(spark, f"{root}/bronze"), exact=True,
+            exact=True, max_bytes=PARQUET_BYTES,
         ).awaitTermination()
     return as_double(store.read(spark))
 
@@ -237,7 +235,7 @@ def stream_trade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sensor_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_sensor_sliding")
     path, result = landed_log(spark, sf_dir, root), Snapshots(f"{root}/summary")
-    log = envelope_files(spark, path, stream=True, max_files=third_of_files(spark, path))
+    log = envelope_files(spark, path, stream=True, max_bytes=PARQUET_BYTES)
     sensor_maximum_stream(
         log, result.save, f"{root}/checkpoint", "batch", slide="5 minutes"
     ).awaitTermination()
@@ -278,29 +276,124 @@ def stream_inserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(bounds_as_ntz(result.read(spark)), TOTALS)
 
 
-def sized(query: Query, name: str) -> Query:
-    """The query with as many state partitions as its input table calls for."""
+def stream_log_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_log_checked")
+    damaged_log(load(spark, sf_dir, "events")).write.parquet(f"{root}/log")
+    log = envelope_files(spark, f"{root}/log", stream=True, max_bytes=PARQUET_BYTES)
+    with scratch_table(spark) as name:
+        ingest_checked(
+            log, f"{root}/checkpoint", name, EVENT_PAYLOAD, "batch", f"{root}/sides"
+        ).awaitTermination()
+    return checked_records(spark.read.parquet(f"{root}/sides"))
+
+
+def stream_trade_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_trade_update")
+    store = window_store(f"{root}/windows", roll_up_every=2)
+    # Waves in time order, so that no trade comes later than the watermark.
+    for wave in time_waves(load(spark, sf_dir, "events")):
+        event_log(wave).write.mode("append").parquet(f"{root}/log")
+        log = envelope_files(spark, f"{root}/log", stream=True)
+        updated_trade_windows(
+            log, store.apply, f"{root}/checkpoint", "batch", schema=EXACT_TRADE
+        ).awaitTermination()
+    return as_double(bounds_as_ntz(store.read(spark)), TOTALS)
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        with state_partitions(spark, total_bytes(spark, f"{sf_dir}/{name}.parquet")):
-            return query(spark, sf_dir)
 
-    return run
+def stream_sensor_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_sensor_update")
+    store = window_store(f"{root}/windows", ["SensorID"])
+    for wave in time_waves(load(spark, sf_dir, "events")):
+        event_log(wave).write.mode("append").parquet(f"{root}/log")
+        log = envelope_files(spark, f"{root}/log", stream=True)
+        updated_sensor_windows(
+            log, store.apply, f"{root}/checkpoint", "batch", slide="5 minutes"
+        ).awaitTermination()
+    return bounds_as_ntz(store.read(spark))
+
+
+def stream_trade_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_trade_append")
+    with scratch_table(spark) as name:
+        for wave in time_waves(load(spark, sf_dir, "events")):
+            event_log(wave).write.mode("append").parquet(f"{root}/log")
+            log = envelope_files(spark, f"{root}/log", stream=True)
+            closed_trade_windows(
+                log, f"{root}/checkpoint", name, "batch", path=f"{root}/windows",
+                schema=EXACT_TRADE,
+            ).awaitTermination()
+    return as_double(bounds_as_ntz(spark.read.parquet(f"{root}/windows")), TOTALS)
+
+
+def stream_state_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_state_readback")
+    checkpoint = f"{root}/checkpoint"
+    with scratch_table(spark) as name, rocksdb_state(spark):
+        for wave in time_waves(load(spark, sf_dir, "events")):  # a restart for each
+            event_log(wave).write.mode("append").parquet(f"{root}/log")
+            log = envelope_files(spark, f"{root}/log", stream=True)
+            closed_sensor_windows(
+                log, checkpoint, name, "batch", path=f"{root}/summary"
+            ).awaitTermination()
+        open_windows = state_rows(spark, checkpoint)
+    reached = F.broadcast(watermark(spark, checkpoint))
+    rows = open_windows.select(
+        "SensorID",
+        F.col("window.start").cast("timestamp_ntz").alias("start"),
+        F.col("window.end").cast("timestamp_ntz").alias("end"),
+        F.col("max").alias("MaxReading"),
+        F.lit(1).alias("_one"),
+    )
+    reached = reached.select(
+        F.col("watermark").cast("timestamp_ntz").alias("watermark"), F.lit(1).alias("_one")
+    )
+    return rows.join(reached, "_one").drop("_one")
+
+
+def stream_observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "stream_observed_counts")
+    store = window_store(f"{root}/windows")
+    first, second, third = time_waves(load(spark, sf_dir, "events"))
+    with listening(spark) as metrics:
+        # The oldest trades come last and mostly later than the watermark, so they are dropped.
+        for wave in (second, third, first):
+            damaged_log(wave).write.mode("append").parquet(f"{root}/log")
+            log = envelope_files(spark, f"{root}/log", stream=True)
+            query = updated_windows(
+                observed_trades(log, EXACT_TRADE), [F.count("*").alias("n")], store.apply,
+                f"{root}/checkpoint", "batch", name="observed-trades",
+            )
+            query.awaitTermination()
+            metrics.wait(query)
+    counts = {name: metrics.total("trades", name) for name in ("rows_in", "malformed", "untimed")}
+    counted = F.coalesce(F.sum("n"), F.lit(0))
+    timed = F.lit(counts["rows_in"] - counts["malformed"] - counts["untimed"])
+    return store.read(spark).agg(
+        *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()],
+        counted.cast("bigint").alias("counted"),
+        (timed - counted).cast("bigint").alias("late"),
+    )
 
 
 QUERIES = {
-    "stream_word_count": sized(stream_word_count, "documents"),
+    "stream_word_count": stream_word_count,
     "stream_invoice_lines": stream_invoice_lines,
     "stream_default_trigger": stream_default_trigger,
     "stream_interval_trigger": stream_interval_trigger,
     "stream_log_to_bronze": stream_log_to_bronze,
     "stream_restart": stream_restart,
     "stream_idempotent_ingest": stream_idempotent_ingest,
-    "stream_rewards_complete": sized(stream_rewards_complete, "orders"),
-    "stream_rewards_update": sized(stream_rewards_update, "orders"),
+    "stream_rewards_complete": stream_rewards_complete,
+    "stream_rewards_update": stream_rewards_update,
     "stream_rewards_accumulate": stream_rewards_accumulate,
-    "stream_trade_summary": sized(stream_trade_summary, "events"),
-    "stream_sensor_sliding": sized(stream_sensor_sliding, "events"),
-    "stream_sensor_append": sized(stream_sensor_append, "events"),
-    "stream_inserted_rows": sized(stream_inserted_rows, "events"),
+    "stream_trade_summary": stream_trade_summary,
+    "stream_sensor_sliding": stream_sensor_sliding,
+    "stream_sensor_append": stream_sensor_append,
+    "stream_inserted_rows": stream_inserted_rows,
+    "stream_log_checked": stream_log_checked,
+    "stream_trade_update": stream_trade_update,
+    "stream_sensor_update": stream_sensor_update,
+    "stream_trade_append": stream_trade_append,
+    "stream_state_readback": stream_state_readback,
+    "stream_observed_counts": stream_observed_counts,
 }

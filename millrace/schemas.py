@@ -15,6 +15,19 @@ INVOICE = """
 TRADE = "CreatedTime string, Type string, Amount double, BrokerCode string"
 SENSOR = "CreatedTime string, Reading double"
 LOG_TABLE = "key string, value string"
+INVOICE_COLUMNS = (
+    "InvoiceNumber",
+    "CreatedTime",
+    "StoreID",
+    "PosID",
+    "CustomerType",
+    "PaymentMethod",
+    "DeliveryType",
+    "DeliveryAddress.City",
+    "DeliveryAddress.State",
+    "DeliveryAddress.PinCode",
+)
+ITEM_COLUMNS = ("ItemCode", "ItemDescription", "ItemPrice", "ItemQty", "TotalValue")
 REWARDS = "CustomerCardNo string, TotalAmount double, TotalPoints double"
 
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"

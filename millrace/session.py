@@ -8,14 +8,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import AbstractContextManager, contextmanager
-from math import ceil
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 SHUFFLE_PARTITIONS_CONF = "spark.sql.shuffle.partitions"
-STATE_PARTITION_BYTES = 64 << 20
+TIME_ZONE_CONF = "spark.sql.session.timeZone"
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
@@ -69,16 +68,21 @@ def rocksdb_state(spark: SparkSession) -> AbstractContextManager[None]:
     return setting(spark, STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
 
 
-def state_partitions(spark: SparkSession, input_bytes: int) -> AbstractContextManager[None]:
-    """Queries started inside the block split their state to suit an input of the given size.
+def state_partitions(spark: SparkSession, partitions: int) -> AbstractContextManager[None]:
+    """Streaming queries started inside the block split their state into so many partitions.
 
-    One partition per 64 MiB, at least one per core and at most what the session is set to: each
-    partition costs a task and a store per batch, which a small input does not repay.
+    The number holds for the whole life of a query, so the caller sizes it for the state expected.
     """
-    most = int(spark.conf.get(SHUFFLE_PARTITIONS_CONF))
-    least = spark.sparkContext.defaultParallelism
-    wanted = max(least, ceil(input_bytes / STATE_PARTITION_BYTES))
-    return setting(spark, SHUFFLE_PARTITIONS_CONF, str(min(most, wanted)))
+    return setting(spark, SHUFFLE_PARTITIONS_CONF, str(partitions))
+
+
+def utc(spark: SparkSession) -> AbstractContextManager[None]:
+    """Frames made inside the block read and print wall-clock times as UTC.
+
+    Spark fixes the zone of a time expression when the frame is made, so a frame keeps it after
+    the block, and the caller's own zone is back.
+    """
+    return setting(spark, TIME_ZONE_CONF, "UTC")
 
 
 def shared_dir(spark: SparkSession) -> str:

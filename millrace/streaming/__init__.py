@@ -1,3 +1,4 @@
+from millrace.streaming.metrics import Metrics, listening, observed
 from millrace.streaming.sinks import (
     append,
     changed_groups,
@@ -6,15 +7,22 @@ from millrace.streaming.sinks import (
     raw_batches,
     table_saver,
 )
+from millrace.streaming.state import state_operators, state_rows, watermark
 from millrace.streaming.stores import Snapshots, UpsertStore
 
 __all__ = [
+    "Metrics",
     "Snapshots",
     "UpsertStore",
     "append",
     "changed_groups",
     "complete",
+    "listening",
+    "observed",
     "overwrite_table",
     "raw_batches",
+    "state_operators",
+    "state_rows",
     "table_saver",
+    "watermark",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -18,27 +20,44 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
 
 
-def finished(spark: SparkSession, root: str, kind: str) -> list[int]:
-    """Ids of the ``root/kind=<id>`` folders that a Spark write has completed, ascending."""
-    ids = []
+def attempts(spark: SparkSession, root: str, kind: str) -> dict[int, str]:
+    """The newest finished attempt at each ``root/kind=<id>``, by ascending id.
+
+    Every attempt at a batch has a folder of its own, ``root/kind=<id>/attempt=<n>``, so a frame
+    that reads one still does when the batch runs again.
+    """
+    newest = {}
     for name in subfolders(spark, root):
         if name.startswith(f"{kind}="):
-            where, files = _open(spark, f"{root}/{name}/_SUCCESS")
-            if files.exists(where):
-                ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
+            done = [n for n in _attempts(spark, f"{root}/{name}") if n[1]]
+            if done:
+                newest[int(name.split("=", 1)[1])] = f"{root}/{name}/attempt={max(done)[0]}"
+    return dict(sorted(newest.items()))
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Number of files anywhere under ``path``, markers of finished writes included."""
-    where, files = _open(spark, path)
-    return files.getContentSummary(where).getFileCount()
+def _attempts(spark: SparkSession, folder: str) -> list[tuple[int, bool]]:
+    found = []
+    for name in subfolders(spark, folder):
+        where, files = _open(spark, f"{folder}/{name}/_SUCCESS")
+        found.append((int(name.split("=", 1)[1]), files.exists(where)))
+    return found
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Length of a file, or of all files under a folder."""
-    where, files = _open(spark, path)
-    return files.getContentSummary(where).getLength()
+def next_attempt(spark: SparkSession, folder: str) -> str:
+    """A folder for one more attempt at the batch of ``folder``."""
+    taken = [n for n, _ in _attempts(spark, folder)]
+    return f"{folder}/attempt={max(taken, default=-1) + 1}"
+
+
+def finished(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """Ids of the batches with an attempt that a Spark write has completed, ascending."""
+    return list(attempts(spark, root, kind))
+
+
+def age(spark: SparkSession, attempt: str) -> float:
+    """Seconds since a finished attempt was completed."""
+    where, files = _open(spark, f"{attempt}/_SUCCESS")
+    return time.time() - files.getFileStatus(where).getModificationTime() / 1000
 
 
 def claim(spark: SparkSession, root: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -54,9 +54,12 @@ def append(
     name: str | None = None,
     path: str | None = None,
     fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Add the rows of a stream to a catalog table, each exactly once."""
     writer = _writer(df, "append", checkpoint, trigger, name).format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return (writer.option("path", path) if path else writer).toTable(table)
 
 

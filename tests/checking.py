@@ -28,6 +28,8 @@ def assert_same(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) ->
     assert len(expected) > 0
     for name in expected.columns:
         left, right = expected[name], actual[name]
+        assert (left.isna() == right.isna()).all(), name
+        left, right = left.dropna(), right.dropna()
         if pd.api.types.is_numeric_dtype(left):
             assert pd.api.types.is_numeric_dtype(right), name
             assert (left.astype(float) == right.astype(float)).all(), name

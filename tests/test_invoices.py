@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import line_items
 from millrace.plans import bronze_invoices, invoice_lines_stream
 from millrace.queries.inputs import nested_invoices, scratch_table
-from millrace.queries.streams import ITEM_COLUMNS
+from millrace.queries.streams import LINE_COLUMNS
 from millrace.sources import invoices, with_input_file
 
 
@@ -32,7 +32,7 @@ DOCUMENTS = [
 def test_line_items(spark, root):
     land(spark, root, DOCUMENTS)
     flat = line_items(invoices(spark, root))
-    assert flat.columns == ITEM_COLUMNS
+    assert flat.columns == LINE_COLUMNS
     rows = {(r.InvoiceNumber, r.ItemCode): r for r in flat.collect()}
     # No rows for an empty or a missing array.
     assert set(rows) == {("1", "a"), ("1", "b"), ("4", "c")}

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -35,13 +36,38 @@ def test_running_totals_are_those_of_an_ordered_window(spark, rows, keyed):
     assert sorted(map(repr, found.collect())) == expected
 
 
-def test_only_bucket_totals_meet_in_one_task(spark):
+def test_only_totals_of_ranges_meet_in_one_task(spark):
     df = spark.range(1000).select(
         F.timestamp_seconds(F.col("id") * 900).alias("end"), F.lit(1).alias("x")
     )
-    plan = running_totals(df, ["x"])._jdf.queryExecution().executedPlan().toString()
-    single = plan.index("Exchange SinglePartition")
-    assert "HashAggregate(keys=[_bucket" in plan[single:].splitlines()[1]
+    found = running_totals(df, ["x"], bucket="second", slices=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = [
+        lines[i + 1]
+        for lines in [plan.splitlines()]
+        for i, line in enumerate(lines)
+        if "Exchange SinglePartition" in line
+    ]
+    # The aggregate of a scalar subquery, and the totals of the ranges: five rows at most.
+    assert below and all(
+        "HashAggregate(keys=[_slice" in line or "partial_percentile_approx" in line for line in below
+    )
+    assert sorted(r.x for r in found.collect()) == list(range(1, 1001))
+
+
+@pytest.mark.parametrize("slices", [1, 3, 50])
+@pytest.mark.parametrize("bucket", [None, "second", "month"])
+def test_any_ranges_give_the_same_totals(spark, slices, bucket):
+    # A third of the rows at one time, some without one.
+    at = F.when(F.col("id") % 3 == 0, 600).when(F.col("id") % 7 > 0, F.pmod("id", F.lit(40)) * 60)
+    df = spark.range(500).select(
+        F.lit("a").alias("k"), F.timestamp_seconds(at).alias("end"), F.lit(1).alias("x"),
+        F.col("id").alias("y"),
+    )
+    for keys in ([], ["k"]):
+        expected = sorted(map(repr, plain_running_totals(df, keys).collect()))
+        found = running_totals(df, ["x", "y"], "end", keys, bucket, slices)
+        assert sorted(map(repr, found.collect())) == expected
 
 
 def test_row_count_and_peek(spark):

@@ -1,6 +1,7 @@
 """Three ways to keep reward totals, and what restarts and replays do to them."""
 
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -25,7 +26,7 @@ from millrace.session import (
     shared_dir,
     state_partitions,
 )
-from millrace.streaming import Snapshots, changed_groups
+from millrace.streaming import Snapshots, changed_groups, complete, state_operators
 
 FILES = [
     [("c1", 100.0), ("c2", 50.5), (None, 10.0)],
@@ -57,10 +58,18 @@ def test_rewards_of_a_frame(spark):
     assert dict(found.dtypes)["TotalAmount"] == dict(found.dtypes)["TotalPoints"] == "double"
     assert totals(found) == pytest.approx(TOTALS)
     exact = rewards(df, exact=True)
-    assert dict(exact.dtypes)["TotalAmount"] == "decimal(28,2)"
+    assert dict(exact.dtypes)["TotalAmount"] == "decimal(38,6)"
     assert totals(as_double(exact)) == TOTALS
 
 
+def test_exact_money_is_not_cut_to_cents(spark):
+    df = spark.createDataFrame(
+        [("a", 0.001)] * 1000 + [("b", 2e16), ("b", 0.5)], "CustomerCardNo string, TotalAmount double"
+    )
+    found = {r.CustomerCardNo: r.TotalAmount for r in rewards(df, exact=True).collect()}
+    assert found == {"a": 1, "b": Decimal("20000000000000000.5")}
+
+
 def test_rate_is_the_callers(spark):
     df = spark.createDataFrame([("a", 10.0)], "card string, paid double")
     assert rewards(df, "card", "paid", rate="0.5").first().TotalPoints == 5.0
@@ -189,13 +198,19 @@ def test_rocksdb_state_is_set_inside_the_block_only(spark):
     assert spark.conf.get(STATE_PROVIDER_CONF, None) == before
 
 
-def test_state_partitions_follow_the_input(spark):
-    cores = spark.sparkContext.defaultParallelism
-    with setting(spark, SHUFFLE_PARTITIONS_CONF, "200"):
-        for size, expected in ((0, cores), (100 << 26, max(100, cores)), (1 << 50, 200)):
-            with state_partitions(spark, size):
-                assert int(spark.conf.get(SHUFFLE_PARTITIONS_CONF)) == expected
-    assert spark.conf.get(SHUFFLE_PARTITIONS_CONF) == "4"
+def test_state_partitions_are_the_callers(spark, root):
+    spark.createDataFrame([("a", 1.0)], "CustomerCardNo string, TotalAmount double").write.parquet(
+        f"{root}/in"
+    )
+    rows = spark.readStream.schema("CustomerCardNo string, TotalAmount double").parquet(f"{root}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_partitions(spark, 3):
+        complete(
+            rewards(rows), Snapshots(f"{root}/out").save, f"{root}/cp", "batch"
+        ).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    (operator,) = state_operators(spark, f"{root}/cp").collect()
+    assert operator.numPartitions == 3 and operator.operatorName == "stateStoreSave"
 
 
 def test_running_query_keeps_its_settings(spark, root):

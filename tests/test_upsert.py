@@ -3,7 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import UnsupportedOperationException
+from pyspark.errors import SparkRuntimeException, UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from millrace.operators import merge_into, upsert
@@ -59,11 +59,62 @@ def test_struct_keys(spark):
     ]
 
 
-def test_small_source_leaves_the_target_where_it_is(spark):
-    target = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    source = spark.range(3).select(F.col("id").alias("k"), F.lit(2).alias("v"))
-    plan = upsert(target, source, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+@pytest.mark.parametrize("rule", ["replace", "accumulate"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_each_side_is_read_once(spark, root, rule, null_safe):
+    for name, size in (("target", 1000), ("source", 3)):
+        spark.range(size).select(F.col("id").alias("k"), F.lit(1).alias("v")).write.parquet(
+            f"{root}/{name}"
+        )
+    sides = [spark.read.parquet(f"{root}/{name}") for name in ("target", "source")]
+    plan = upsert(*sides, ["k"], rule, null_safe)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange ") == 1
+
+
+def test_repeated_source_keys(spark):
+    target = frame(spark, [("a", 1), ("b", 2), (None, 3)])
+    source = spark.createDataFrame(
+        [("a", 10, 1), ("a", None, 3), ("a", 30, 2), ("c", 5, 1), (None, 7, 1), (None, 8, 2)],
+        "k string, v bigint, at int",
+    )
+    with pytest.raises(SparkRuntimeException, match="several rows of one key"):
+        upsert(target, source, ["k"]).collect()
+    with pytest.raises(SparkRuntimeException, match="several rows of one key"):
+        upsert(target.select("k"), source.select("k"), ["k"]).collect()
+    newest = upsert(target, source, ["k"], order=["at"])
+    assert newest.columns == ["k", "v"]
+    assert rows_of(newest) == sorted([("a", None), ("b", 2), ("c", 5), (None, 8)], key=repr)
+    # Where nulls are no keys, rows with one are neither repeated nor replaced.
+    apart = upsert(target, source, ["k"], null_safe=False, order=["at"])
+    assert rows_of(apart) == sorted(
+        [("a", None), ("b", 2), ("c", 5), (None, 3), (None, 7), (None, 8)], key=repr
+    )
+    total = upsert(target, source.drop("at"), ["k"], "accumulate")
+    assert rows_of(total) == sorted([("a", 41), ("b", 2), ("c", 5), (None, 18)], key=repr)
+
+
+def test_store_refuses_repeated_keys(spark, root):
+    store = UpsertStore(root, ["k"])
+    store.apply(frame(spark, [("a", 1)]), 0)
+    for rows in ([("b", 1), ("b", 2)], [(None, 1), (None, 2)]):
+        with pytest.raises(ValueError, match="several rows of one key"):
+            store.apply(frame(spark, rows), 1)
+    assert rows_of(store.read(spark)) == [("a", 1)]
+    loose = UpsertStore(f"{root}/loose", ["k"], null_safe=False)
+    loose.apply(frame(spark, [(None, 1), (None, 2)]), 0)
+    assert len(rows_of(loose.read(spark))) == 2
+
+
+@pytest.mark.parametrize("make", [Snapshots, lambda root: UpsertStore(root, ["k"])])
+def test_frame_read_before_a_rerun_still_reads(spark, root, make):
+    store = make(root)
+    save = store.save if isinstance(store, Snapshots) else store.apply
+    save(frame(spark, [("a", 1)]), 0)
+    before = store.read(spark)
+    save(frame(spark, [("a", 1)]), 0)
+    save(frame(spark, [("a", 2)]), 1)
+    assert rows_of(before) == [("a", 1)]
+    assert rows_of(store.read(spark)) == [("a", 2)]
 
 
 def test_unknown_rule(spark, root):
@@ -133,30 +184,35 @@ def test_batch_that_failed_half_way_does_not_count(spark, root):
     store = UpsertStore(root, ["k"], "accumulate")
     store.apply(frame(spark, [("a", 1)]), 0)
     store.apply(frame(spark, [("a", 1)]), 1)
-    remove(spark, f"{root}/batch=1/_SUCCESS")
+    remove(spark, f"{root}/batch=1/attempt=0/_SUCCESS")
     assert rows_of(store.read(spark)) == [("a", 1)]
     store.apply(frame(spark, [("a", 1)]), 1)
     assert rows_of(store.read(spark)) == [("a", 2)]
 
 
 def test_roll_up_leaves_quiet_parts_alone_and_drops_what_is_folded(spark, root):
-    store = UpsertStore(root, ["k"], "accumulate", part=F.col("k"), roll_up_every=2)
+    store = UpsertStore(
+        root, ["k"], "accumulate", part=F.col("k"), roll_up_every=2, keep_for=0
+    )
     for i, key in enumerate(["a", "b", "a", "a", "c", "a", "c"]):
         store.apply(frame(spark, [(key, 1)]), i)
     assert finished(spark, root, "rolled") == [1, 3, 5]
     assert finished(spark, root, "batch") == [4, 5, 6]
     # Part b has had no change since the first roll-up, part a is folded anew by each.
-    assert subfolders(spark, f"{root}/rolled=1") == ["part=b"]
-    assert sorted(subfolders(spark, f"{root}/rolled=5")) == ["part=a", "part=c"]
+    assert subfolders(spark, f"{root}/rolled=1/attempt=0") == ["part=b"]
+    assert sorted(subfolders(spark, f"{root}/rolled=5/attempt=0")) == ["part=a", "part=c"]
     assert rows_of(store.read(spark)) == [("a", 4), ("b", 1), ("c", 2)]
     plan = store.read(spark).where("k = 'b'")._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan
 
 
 def test_snapshots_keep_the_newest(spark, root):
-    result = Snapshots(root)
-    for i in range(4):
-        result.save(frame(spark, [("a", i)]), i)
-    result.save(frame(spark, [("a", 30)]), 3)
-    assert finished(spark, root, "batch") == [2, 3]
-    assert rows_of(result.read(spark)) == [("a", 30)]
+    result, passing = Snapshots(root), Snapshots(f"{root}/passing", keep_for=0)
+    for store in (result, passing):
+        for i in range(4):
+            store.save(frame(spark, [("a", i)]), i)
+        store.save(frame(spark, [("a", 30)]), 3)
+        assert rows_of(store.read(spark)) == [("a", 30)]
+    # What a slow reader may still hold stays until it has been out of date for ``keep_for``.
+    assert finished(spark, root, "batch") == [0, 1, 2, 3]
+    assert finished(spark, f"{root}/passing", "batch") == [3]

@@ -15,16 +15,33 @@ from millrace.operators import (
     window_aggregate,
     window_rows,
 )
+from millrace.operators.windows import pane_length
 from millrace.plans import (
     closed_sensor_windows,
+    closed_trade_windows,
     net_position_report,
+    observed_trades,
     sensor_maximum_stream,
     trade_summary_stream,
+    updated_sensor_windows,
+    updated_trade_windows,
+    updated_windows,
+    window_store,
 )
 from millrace.queries.inputs import scratch_table
 from millrace.schemas import LOG_TABLE
+from millrace.session import rocksdb_state
 from millrace.sources import csv_rows, table
-from millrace.streaming import Snapshots, UpsertStore, append, changed_groups
+from millrace.streaming import (
+    Snapshots,
+    UpsertStore,
+    append,
+    changed_groups,
+    listening,
+    state_operators,
+    state_rows,
+    watermark,
+)
 
 
 def trade(time, kind, amount):
@@ -107,6 +124,37 @@ def test_sensor_windows(spark):
     assert maxima(sensor_maximum(rows, slide="5 minutes")) == SLIDING
 
 
+@pytest.mark.parametrize("size, slide", [("15 minutes", "5 minutes"), ("10 minutes", "4 minutes"),
+                                         ("1 hour 30 seconds", "45 seconds"), ("5 minutes", "5 minutes")])
+def test_panes_give_the_windows_of_the_rows(spark, size, slide):
+    rows = spark.range(3000).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("SensorID"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(20000))).alias("CreatedTime"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000))).alias("Reading"),
+    )
+    plain = window_aggregate(
+        rows, [F.max("Reading").alias("MaxReading")], size=size, slide=slide, keys=["SensorID"]
+    )
+    found = sensor_maximum(rows, size, slide)
+    assert found.count() == plain.count()
+    assert found.exceptAll(plain).count() == 0
+
+
+def test_only_panes_are_copied(spark):
+    rows = spark.createDataFrame([], "SensorID string, CreatedTime timestamp, Reading double")
+    plan = sensor_maximum(rows, slide="5 minutes")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1
+    assert plan.index("Expand") < plan.index("partial_max(Reading")
+
+
+def test_pane_length():
+    assert pane_length("15 minutes", "5 minutes") == "300000000 microseconds"
+    assert pane_length("interval 10 minutes", "4 minutes") == "120000000 microseconds"
+    assert pane_length("1 hour 30 seconds", "45 seconds") == "15000000 microseconds"
+    for plain in (("15 minutes", "15 minutes"), ("1 month", "1 day"), ("x", "1 day"), ("1", "1 day")):
+        assert pane_length(*plain) is None
+
+
 def test_sensor_summary_against_a_stored_csv(spark, root):
     golden = [
         ("SET41", f"2019-02-05 {span[:5]}:00", f"2019-02-05 {span[6:]}:00", high)
@@ -214,6 +262,104 @@ def test_append_mode_gives_closed_windows_once(spark, root, log):
     assert totals(spark.read.parquet(f"{root}/summary")) == {"10:00-10:15": (800, 0)}
 
 
+def test_changed_windows_are_upserted(spark, root, log):
+    name, insert = log
+    store = window_store(f"{root}/windows")
+    changed = []
+
+    def apply(df, batch_id):
+        changed.append(len(df.collect()))
+        store.apply(df, batch_id)
+
+    def run():
+        updated_trade_windows(
+            table(spark, name, stream=True), apply, f"{root}/cp", "batch", name="changed"
+        ).awaitTermination()
+
+    insert(INSERTS[0])
+    run()
+    assert totals(store.read(spark)) == {"10:00-10:15": (800, 0)}
+    insert(INSERTS[1])
+    run()
+    insert(INSERTS[2])  # 10:25 is late, but before the watermark's window
+    run()
+    assert totals(store.read(spark)) == SUMMARY
+    assert [n for n in changed if n] == [1, 2, 2]
+    insert(TOO_LATE)  # the watermark is 10:18
+    run()
+    assert totals(store.read(spark)) == SUMMARY
+    # The state holds what may still change, not all windows.
+    left = state_rows(spark, f"{root}/cp").select("window.start", "window.end").collect()
+    assert {span(r) for r in left} == {"10:15-10:30", "10:30-10:45", "10:45-11:00"}
+    assert [r.watermark for r in watermark(spark, f"{root}/cp").collect()] == [
+        datetime(2019, 2, 5, 10, 18)
+    ]
+
+
+def test_changed_sensor_windows(spark, root, log):
+    name, _ = log
+    readings(spark).write.insertInto(name)
+    for slide, expected in ((None, TUMBLING), ("5 minutes", SLIDING)):
+        store = window_store(f"{root}/{slide}", ["SensorID"])
+        updated_sensor_windows(
+            table(spark, name, stream=True), store.apply, f"{root}/cp-{slide}", "batch", slide=slide
+        ).awaitTermination()
+        assert maxima(store.read(spark)) == expected
+
+
+def test_closed_trade_windows(spark, root, log):
+    name, insert = log
+    with scratch_table(spark) as closed:
+        for values in (*INSERTS, TOO_LATE, [trade("11:20", "BUY", 1)], [trade("10:40", "BUY", 5)]):
+            insert(values)
+            closed_trade_windows(
+                table(spark, name, stream=True), f"{root}/cp", closed, "batch",
+                path=f"{root}/closed", fmt="json",
+            ).awaitTermination()
+    rows = spark.read.schema("start timestamp, end timestamp, TotalBuy double, TotalSell double")
+    found = totals(rows.json(f"{root}/closed"))
+    assert found == {k: v for k, v in SUMMARY.items() if k != "10:45-11:00"}
+
+
+def test_stream_counts_its_rows(spark, root, log):
+    name, insert = log
+    store = window_store(f"{root}/windows")
+    odd = ["{bad", '{"Type":"BUY","Amount":"much"}', '{"Type":"BUY","Amount":1}']
+    with listening(spark) as metrics:
+        for values in (*INSERTS, [*TOO_LATE, *odd]):
+            insert(values)
+            query = updated_windows(
+                observed_trades(table(spark, name, stream=True)),
+                [F.count("*").alias("n")], store.apply, f"{root}/cp", "batch", name="counted",
+            )
+            query.awaitTermination()
+            metrics.wait(query)
+        counts = {n: metrics.total("trades", n) for n in ("rows_in", "malformed", "untimed")}
+        assert counts == {"rows_in": 10, "malformed": 2, "untimed": 1}
+        assert sum(b.late_groups for b in metrics.batches) == 1
+        assert {b.query for b in metrics.batches} == {"counted"}
+        assert metrics.batches[-1].watermark == "2019-02-05T10:18:00.000Z"
+    assert store.read(spark).agg(F.sum("n")).first()[0] == 6
+
+
+def test_state_of_a_restarted_query(spark, root, log):
+    name, insert = log
+    with rocksdb_state(spark), scratch_table(spark) as closed:
+        for values in INSERTS:
+            insert(values)
+            closed_trade_windows(
+                table(spark, name, stream=True), f"{root}/cp", closed, "batch", path=f"{root}/out"
+            ).awaitTermination()
+    (operator,) = state_operators(spark, f"{root}/cp").collect()
+    assert operator.operatorName == "stateStoreSave"
+    assert operator.numPartitions == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = state_rows(spark, f"{root}/cp")
+    assert rows.columns[0] == "window" and rows.columns[-1] == "partition_id"
+    assert rows.count() == 3
+    first = state_rows(spark, f"{root}/cp", batch=0)
+    assert [span(r) for r in first.select("window.*").collect()] == ["10:00-10:15"]
+
+
 def test_sensor_streams(spark, root, log):
     name, insert = log
     readings(spark).write.insertInto(name)

@@ -1,5 +1,6 @@
 from millrace.operators import tokens, total_with_prefix, word_count
 from millrace.plans import word_count_stream, word_count_table
+from millrace.queries import QUERIES
 from millrace.queries.inputs import scratch_table
 from millrace.sources import sentences
 from millrace.streaming import Snapshots, table_saver
@@ -76,3 +77,9 @@ def test_stream_result_in_a_table(spark, root):
             spark, f"{root}/text", save, f"{root}/checkpoint", "batch"
         ).awaitTermination()
         assert {tuple(r) for r in spark.table(name).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_words_and_sentences_are_not_shuffled(spark):
+    for name in ("word_tokens", "text_sentences"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        assert "Exchange" not in plan.executedPlan().toString()
