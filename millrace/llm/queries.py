@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bpe import bpe_decode, bpe_encode, token_count
 from millrace.llm.counts import count_tokens
 from millrace.llm.jaccard import Similarity, similar_documents
+from millrace.llm.matrix_bpe import matrix_decode, matrix_encode, share_ranks
 from millrace.llm.mixing import mixed_sizes
 from millrace.llm.pages import extract_pages
 from millrace.llm.quality import document_statistics, fit_discriminant, quality_score
@@ -17,10 +18,13 @@ from millrace.llm.rules import judge_quality
 from millrace.llm.search import nearest, whole_vectors
 from millrace.llm.storage import settled, ship_package
 from millrace.llm.substrings import remove_repeats
+from millrace.llm.trie import rebuilt_prefixes, trie_nodes, turn_digests
 from millrace.llm.urls import filter_urls
+from millrace.llm.whitening import fixed_point, whitened
 from millrace.llm.words import word_count
 
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 TOKEN_LIMIT = 512
 WEIGHTS = (3, 1, 2)
 URL_RULES = (
@@ -129,6 +133,34 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(docs, Similarity(n=3, num=9, den=10))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_digests(table(spark, sf_dir, "conversations"))
+    return trie_nodes(rebuilt_prefixes(turns, block=100, kinds=6))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), fixed_point(F.col("embedding"), 1024, 100_000).alias("vec")
+    )
+    found = whitened(rows, wanted=8).withColumnRenamed("id", "vec_id")
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op13_matrix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = share_ranks(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select("doc_id", matrix_encode(F.col("text"), ranks).alias("ids"))
+    both = ids.select("doc_id", "ids", matrix_decode(F.col("ids"), ranks).alias("decoded"))
+    return both.select(
+        "doc_id",
+        token_count(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -142,6 +174,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html,
         op9_token_counts,
         op10_jaccard_join,
+        op11_prefix_trie,
+        op12_whitening,
+        op13_matrix_bpe,
     )
 }
 ORACLE: dict[str, str] = {
@@ -209,4 +244,50 @@ with recursive t as (
 )
 select t.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
 from t left join n on n.doc_id = t.doc_id join m on m.doc_id = t.doc_id""",
+    "op11_prefix_trie": r"""
+with t as (
+  select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as g, turn
+  from conversations where conv_id is not null
+), o as (
+  select c, x, g, row_number() over (partition by c order by turn nulls first, g) as p from t
+), k as (
+  select c, c - c % 100 as b, n, xor(4294967295, list_reduce(
+      list_concat([4294967295::ubigint], flatten(list_transform(
+        string_split(c::varchar, ''),
+        lambda a: list_transform(range(8), lambda i: ((ascii(a) >> i) & 1)::ubigint)))),
+      lambda v, bit: xor(v >> 1, 3988292384 * (xor(v, bit) & 1))::ubigint)) % 6 as h
+  from (select c, count(*) as n from t group by c)
+), q as (
+  select k.c, k.n, k.h, count(o.p) as m from k left join o on o.c = k.b and o.p <= k.h
+  group by all
+), s as (
+  select k.c, o.p as d, x, g from k join o on o.c = k.b and o.p <= k.h
+  union all
+  select q.c, o.p - q.h + q.m, x, g from q join o on o.c = q.c and o.p > q.h
+), f as (
+  select c, d, length(x) as chars,
+         string_agg(g, '') over (partition by c order by d) as path
+  from s
+  union all
+  select c, 0, 0, '' from k
+), z as (
+  select c, max(d) as len from f group by c
+), v as (
+  select path, d, min(f.c) as rep, count(*) as n, any_value(chars) as chars,
+         list(f.c order by f.c) filter (d = len) as ends
+  from f join z using (c) group by path, d
+), w as (
+  select a.path, a.d, a.rep, a.n, a.chars, a.ends, b.rep as up, count(e.path) as kids
+  from v a left join v b on a.d > 0 and b.path = left(a.path, 32 * (a.d - 1)::bigint)
+  left join v e on e.d = a.d + 1 and left(e.path, 32 * a.d::bigint) = a.path
+  group by all
+), y as (
+  select u.path, count(*) filter (w.kids = 0) as leaves, sum((w.n - 1) * w.chars) as saved
+  from w join f u on u.c = w.rep and u.d <= w.d group by u.path
+)
+select rep as conv_id, d::bigint as depth, up as parent_conv_id, n::bigint as n_convs,
+       kids::bigint as n_children, leaves::bigint as n_leaves, saved::bigint as saved_tokens,
+       sha256(coalesce(array_to_string(ends, ','), '')) as ends_sha256
+from w join y using (path)""",
 }
