@@ -16,12 +16,15 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.travel import stretches
 from millrace.llm.vocabulary import Vocabulary, read_vocabulary, vocabulary
 
-REMEMBERED = 1 << 18  # pre-tokens whose ids a worker remembers
+REMEMBERED = 1 << 18  # pre-tokens in each of two generations of a worker's memory
+STRETCH = 1 << 20  # characters of text that are encoded together
 
 
 class Encoder:
@@ -40,7 +43,8 @@ class Encoder:
         self._forward.make_automaton()
         self._starts.make_automaton()
         self._compatible: dict[tuple[int, int], bool] = {}
-        self._known: dict[str, list[int]] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _longest_proper_prefix(self, piece: bytes) -> int:
         for n in range(len(piece) - 1, 0, -1):
@@ -116,22 +120,27 @@ class Encoder:
                 token = tokens.pop()
                 at -= self.length[token]
 
-    def text(self, text: str) -> list[int]:
-        ids: list[int] = []
-        known = self._known
-        for special, words in self.words.pretokens(text):
-            if special is not None:
-                ids.append(special)
-            for word in words:
-                found = known.get(word)
-                if found is None:
-                    found = self.pretoken(word.encode())
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    if len(word) <= 64:
-                        known[word] = found
-                ids += found
-        return ids
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text. Pre-tokens that were not met before are encoded once each."""
+        cut = [list(self.words.pretokens(text)) for text in texts]
+        unmet = set().union(*(words for parts in cut for _, words in parts)) - self._young.keys()
+        for word in unmet:
+            known = self._old.get(word)
+            self._young[word] = known or np.array(self.pretoken(word.encode()), "<u4").tobytes()
+        ids = self._young.__getitem__
+        packed = [
+            b"".join(
+                b"".join(map(ids, words)) if special is None else np.uint32(special).tobytes()
+                for special, words in parts
+            )
+            for parts in cut
+        ]
+        for word in unmet:
+            if len(word) > 64:
+                del self._young[word]
+        if len(self._young) > REMEMBERED:
+            self._young, self._old = {}, self._young
+        return packed
 
 
 class Decoder:
@@ -161,34 +170,43 @@ def _worker(kind: type, spec: dict):
     return _built[key]
 
 
-def bpe_encode(spark: SparkSession, text: Column, path: str) -> Column:
+def share_vocabulary(spark: SparkSession, path: str) -> Broadcast:
+    """The vocabulary on its way to the workers, once for encoding and decoding."""
+    return spark.sparkContext.broadcast(read_vocabulary(path))
+
+
+def bpe_encode(
+    spark: SparkSession, text: Column, path: str, shared: Broadcast | None = None
+) -> Column:
     """The text's ids as little-endian unsigned 32-bit integers in one binary."""
-    shared = spark.sparkContext.broadcast(read_vocabulary(path))
+    shared = shared or share_vocabulary(spark, path)
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
-        ids = _worker(Encoder, shared.value).text
-        return pa.array(
-            [np.array(ids(t or ""), "<u4").tobytes() for t in texts.to_pylist()], pa.binary()
-        )
+        encoder = _worker(Encoder, shared.value)
+        parts = [pa.array(encoder.texts(part), pa.binary()) for part in stretches(texts, "", STRETCH)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return encode(text)
 
 
-def bpe_decode(spark: SparkSession, ids: Column, path: str) -> Column:
+def bpe_decode(
+    spark: SparkSession, ids: Column, path: str, shared: Broadcast | None = None
+) -> Column:
     """The text of ids as ``bpe_encode`` gives them; bytes that are no UTF-8 become U+FFFD."""
-    shared = spark.sparkContext.broadcast(read_vocabulary(path))
+    shared = shared or share_vocabulary(spark, path)
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         to_bytes = _worker(Decoder, shared.value).bytes_of
-        return pa.array(
-            [
-                to_bytes(np.frombuffer(x or b"", "<u4")).decode("utf-8", "replace")
-                for x in lists.to_pylist()
-            ],
-            pa.string(),
-        )
+        parts = [
+            pa.array(
+                [to_bytes(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in part],
+                pa.string(),
+            )
+            for part in stretches(lists, b"", STRETCH)
+        ]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return decode(ids)
 

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.hashing import chunks, mixed, sequence_hashes, word_hashes
-from millrace.llm.storage import stored
+from millrace.llm.rows import ROW, ids_are_keys, with_row_ids
+from millrace.llm.storage import discard, stored
 from millrace.llm.travel import compressed, opened
 
 COORDINATES = 64
@@ -270,8 +271,10 @@ def _weighty(cells: DataFrame) -> DataFrame:
     return cells.join(weights, "class").groupBy("sig").agg(F.max_by("class", order).alias("b"))
 
 
-def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Cells (sig, class, label) by the rarest n-grams of each class.
+def _rare_cells(
+    apart: DataFrame, sets: DataFrame, sim: Similarity
+) -> tuple[DataFrame, DataFrame]:
+    """Cells (sig, class, label) by the rarest n-grams of each class, and the table of its n-grams.
 
     With all n-grams in one order, similar sets share one among the first that are more than they
     may differ in; in the order of their counts, near copies share few of these but with the
@@ -289,18 +292,18 @@ def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame
     each_way = sim.num + sim.den
     common = f"(((n + {smallest}) * {sim.num} + {each_way - 1}) div {each_way})"
     first = F.slice("grams", F.lit(1), F.expr(f"cast(least(n, n - {common} + 1) as int)"))
-    return (
-        ranked.select("class", "label", F.explode(first).alias("g"))
-        .where("g.count > 1")
-        .select(F.col("g.gram").alias("sig"), "class", "label")
-    )
+    cells = ranked.select("class", "label", F.explode(first).alias("g")).where("g.count > 1")
+    return cells.select(F.col("g.gram").alias("sig"), "class", "label"), each
 
 
-def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+def _searched(
+    cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similarity
+) -> tuple[DataFrame, list[DataFrame]]:
     """Links (a, b) in cells (sig, class) of which the known (node, root) leave some apart.
 
     Their classes are dealt anew by rare n-grams. In a cell of these, the classes of the commonest
-    label aren't compared with each other; all others are, and with those, in chunks.
+    label aren't compared with each other; all others are, and with those, in chunks. The stored
+    tables that the links are read from come with them.
     """
     placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
@@ -309,7 +312,9 @@ def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similari
     )
     wide = state.where("n > 2 and low < high").select("sig")
     apart = placed.join(wide, "sig").select("class", "label").distinct()
-    dealt = stored(_rare_cells(apart, sets, sim))
+    rare, each = _rare_cells(apart, sets, sim)
+    dealt = stored(rare)
+    discard(each)
     counts = dealt.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("sig").agg(
         F.max_by("label", F.struct("n", "label")).alias("top"),
@@ -349,7 +354,7 @@ def _searched(cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similari
         a, b = zip(*found) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return loaded.groupBy("task").applyInArrow(links, "a bigint, b bigint")
+    return loaded.groupBy("task").applyInArrow(links, "a bigint, b bigint"), [dealt, rows]
 
 
 def similar_documents(
@@ -359,12 +364,26 @@ def similar_documents(
 
     The component is the smallest id that links lead to.
     """
+    unique = ids_are_keys(docs, doc_id)
+    keyed = with_row_ids(docs, doc_id, text, unique)
+    found = _similar_rows(keyed, sim, ROW, text)
+    if unique:
+        return found.withColumnRenamed(ROW, doc_id)
+    names = keyed.select(F.col(ROW).alias("component_id"), F.col(doc_id).alias("__least"))
+    named = found.join(keyed.select(ROW, doc_id), ROW).join(names, "component_id")
+    return named.select(doc_id, "n_shingles", F.col("__least").alias("component_id"))
+
+
+def _similar_rows(docs: DataFrame, sim: Similarity, doc_id: str, text: str) -> DataFrame:
+    """The same of rows whose id is a key; only one may be null."""
     rows = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint").alias("id"), text)
     sized = stored(_map_sets(rows, sim))
-    sigs = _map_signatures(rows, sim)
-    short = F.shiftright("sig", 16)  # 48 bits, narrower to count; a superset will do
-    repeated = sigs.groupBy(short.alias("short")).count().where("count > 1").select("short")
-    cells = stored(sigs.join(repeated, short == F.col("short")).select("sig", "class").distinct())
+    # One shuffle by signature: they are counted, and found again, where they lie. 48 bits of them
+    # do, as more than the repeated ones may stay.
+    sigs = _map_signatures(rows, sim).withColumn("short", F.shiftright("sig", 16))
+    dealt = sigs.repartition("short")
+    repeated = dealt.groupBy("short").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells = stored(dealt.join(repeated, "short").select("sig", "class").distinct())
     leaders = _weighty(cells)
     pairs = stored(
         cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()
@@ -375,7 +394,10 @@ def similar_documents(
     packed = rows.select("id", compressed(F.col(text)).alias("text"))
     sets = stored(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
     first = stored(_compared(pairs, sets, sim))
-    more = stored(_searched(cells, components(first), sets, sim))
+    discard(pairs)
+    searched, used = _searched(cells, components(first), sets, sim)
+    more = stored(searched)
+    discard(cells, sets, *used)
     roots = components(first.unionByName(more))
     rooted = ids.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "id", F.coalesce("root", "class").alias("root")
@@ -396,8 +418,13 @@ def similar_documents(
 def one_of_each(
     docs: DataFrame, sim: Similarity, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows whose id is the smallest of its component; rows of one id stay or go together."""
-    found = similar_documents(docs, sim, doc_id, text)
-    kept = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col(doc_id).alias("__id")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
+    """One row of each component, that of the smallest id.
+
+    Rows of one id, or without one, are documents like others: of those in one component the one
+    with the least hash of its text stays, so equal rows leave one. Rows without words all stay.
+    """
+    keyed = with_row_ids(docs, doc_id, text, ids_are_keys(docs, doc_id))
+    found = _similar_rows(keyed, sim, ROW, text)
+    kept = found.where(F.col(ROW).eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col(ROW).alias("__id"))
+    return keyed.join(kept, F.col(ROW).eqNullSafe(F.col("__id")), "left_semi").drop(ROW)

@@ -28,6 +28,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.travel import stretches
+
 NEVER = np.int32(2**31 - 1)  # the rank of a pair that does not merge
 CELLS = 1 << 19  # of a matrix
 LONG = 256  # bytes from which a row has a matrix of its own
@@ -316,19 +318,6 @@ def _worker(kind: type, ranks: Ranks):
     return _built[key]
 
 
-def stretches(column: pa.Array, empty: str | bytes, most: int) -> Iterator[list]:
-    """The values of a column in lists of about ``most`` characters, nulls as ``empty``."""
-    part, size = [], 0
-    for value in column:
-        part.append(value.as_py() or empty)
-        size += len(part[-1])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def share_ranks(spark: SparkSession, path: str, pattern: str) -> Broadcast:
     """The vocabulary on its way to the workers, once for encoding and decoding."""
     return spark.sparkContext.broadcast(read_ranks(path, pattern))

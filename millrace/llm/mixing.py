@@ -24,8 +24,10 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.rows import ROW, ids_are_keys, with_row_ids
 from millrace.llm.storage import settled
 from millrace.llm.words import word_count
+from millrace.session import SHUFFLE_PARTITIONS_CONF
 
 BLOCK = 128  # words
 SHARD = 4096  # slots
@@ -131,9 +133,12 @@ def drawn_slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
             "slots": F.sum("owed").over(Window.partitionBy()),
         }
     ).where("owed > 0")
+    # A number of its own, or adaptive execution puts the few bytes of these rows into one task.
+    n_chunks = counted.agg(F.sum(F.ceil(F.col("owed") / CHUNK))).first()[0] or 1
+    most = int(counted.sparkSession.conf.get(SHUFFLE_PARTITIONS_CONF))
     chunks = counted.withColumn(
         "at", F.explode(F.sequence(F.lit(0), F.col("owed") - 1, F.lit(CHUNK)))
-    ).repartition(F.col("source_no"), F.col("at"))
+    ).repartition(min(most, int(n_chunks)), F.col("source_no"), F.col("at"))
     last = F.least(F.col("at") + CHUNK, F.col("owed")) - 1
     ranks = chunks.withColumn("rank", F.explode(F.sequence(F.col("at"), last)))
     draw = F.lit(-1)
@@ -174,6 +179,30 @@ def mixed_pieces(
     return rows, pieces(rows).join(wanted, ["source_no", "block"])
 
 
+def mixed_shards(
+    docs: DataFrame, weights: Sequence[int], share: float, most: float, seed: int = SEED
+) -> DataFrame:
+    """The mix itself: (shard, slot, source_no, block, doc_id, piece_from, piece_words).
+
+    Each slot of a shard has one block, found by its number, and a row for each piece of a document
+    in the block. The slots of a shard are a draw without replacement from those owed to all
+    sources, so the counts of sources in a shard vary as in such a draw and add up over the shards
+    to what is owed. ``docs`` has doc_id, source and size, and its ids tell rows apart.
+    """
+    sizes = settled(docs.select("doc_id", "source", F.col("size").cast("bigint").alias("size")))
+    sources = settled(source_targets(sizes, weights, share, most))
+    cut = pieces(settled(packed(sizes, sources)))
+    part = cut.select("source_no", "block", "doc_id", "piece_from", "piece_words")
+    found = drawn_slots(sources, seed).join(part, ["source_no", "block"])
+    return found.select("shard", "slot", *part.columns)
+
+
+def shard_counts(slots: DataFrame) -> DataFrame:
+    """(shard, source_no, n): the slots that each source has in each shard."""
+    each = slots.select("shard", "slot", "source_no").distinct()
+    return each.groupBy("shard", "source_no").agg(F.count(F.lit(1)).alias("n"))
+
+
 def mixed_sizes(
     docs: DataFrame, weights: Sequence[int], share: float, most: float, seed: int = SEED
 ) -> DataFrame:
@@ -200,17 +229,21 @@ def mixed_documents(
 ) -> DataFrame:
     """Documents with only the words that the mix takes, those of a block taken twice twice.
 
-    Rows keep their columns; documents of which nothing is taken go. ``doc_id`` must tell rows
-    apart. Words keep the white space that follows them.
+    Rows keep their columns; documents of which nothing is taken go, those without words among
+    them. Rows are told apart also where ids are null or repeated, and each is a document. Words
+    keep the white space that follows them.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"))
+    keyed = with_row_ids(docs, "doc_id", text, ids_are_keys(docs, "doc_id"))
+    sized = keyed.select(
+        F.col(ROW).alias("doc_id"), "source", word_count(F.col(text)).alias("size")
+    )
     _, cut = mixed_pieces(sized, weights, share, most, seed)
     piece = F.struct("piece_from", "piece_words", "times")
     taken = cut.groupBy("doc_id").agg(F.sort_array(F.collect_list(piece)).alias("__pieces"))
     ended = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(" "))
     spaced = F.regexp_extract_all(ended, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]+"), F.lit(0))
     taken = taken.withColumnRenamed("doc_id", "__id")
-    found = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id")))
+    found = keyed.join(taken, F.col(ROW).eqNullSafe(F.col("__id")))
     words = found.withColumn("__words", spaced).withColumn("__all", F.size("__words"))
 
     def chosen(p: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import bpe_decode, bpe_encode, token_count
+from millrace.llm.bpe import bpe_decode, bpe_encode, share_vocabulary, token_count
 from millrace.llm.counts import count_tokens
 from millrace.llm.jaccard import Similarity, similar_documents
 from millrace.llm.matrix_bpe import matrix_decode, matrix_encode, share_ranks
@@ -100,8 +100,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), vocabulary_path()
-    ids = docs.select("doc_id", bpe_encode(spark, F.col("text"), path).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe_decode(spark, F.col("ids"), path).alias("decoded"))
+    shared = share_vocabulary(spark, path)
+    ids = docs.select("doc_id", bpe_encode(spark, F.col("text"), path, shared).alias("ids"))
+    decoded = bpe_decode(spark, F.col("ids"), path, shared).alias("decoded")
+    both = ids.select("doc_id", "ids", decoded)
     return both.select(
         "doc_id",
         token_count(F.col("ids")).alias("n_tokens"),

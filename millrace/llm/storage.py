@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 from pathlib import Path
@@ -15,6 +16,7 @@ from millrace.session import run_dir, shared_dir
 from millrace.streaming.folders import remove
 
 _shipped: set[str] = set()
+_folders: dict[int, tuple[DataFrame, str]] = {}
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -36,7 +38,24 @@ def stored(df: DataFrame) -> DataFrame:
     folder = run_dir(spark, "stored")
     df.write.parquet(folder)
     atexit.register(_drop, spark, folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    table = spark.read.schema(df.schema).parquet(folder)
+    _folders[id(table)] = (table, folder)  # the frame is kept, so that its id stays its own
+    return table
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete ``stored`` tables whose last reader has been written.
+
+    Spark deletes the files of shuffles that nothing refers to any more when the driver's garbage
+    collector has noticed; it is asked to look.
+    """
+    for df in frames:
+        spark, folder = df.sparkSession, _folders.pop(id(df), (None, None))[1]
+        if folder:
+            remove(spark, folder)
+    if frames:
+        gc.collect()
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def _drop(spark: SparkSession, folder: str) -> None:

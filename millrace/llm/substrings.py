@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.hashing import WORD_BASE, chunks, sequence_hashes, spans_hashes, word_hashes
+from millrace.llm.rows import ROW, ids_are_keys, with_text_ids
 from millrace.llm.storage import stored
 from millrace.llm.travel import compressed, opened
 
@@ -41,6 +42,7 @@ SHARED = 64  # different segments of an anchor from which its windows are compar
 SHARD_SEGMENTS = 4096
 PLACE_BITS = 40  # of a position: the word; above it, a hash that tells texts of one id apart
 SIZE_BITS = 12  # below the position in a segment's row: its number of windows
+MOST_WINDOW = 4000  # words, so that the windows of a segment can be counted in SIZE_BITS
 NO_ID = -(1 << 63)
 
 
@@ -275,8 +277,17 @@ def remove_repeats(
 ) -> DataFrame:
     """Every row with n_words, n_removed, kept (its words, one space apart) and text without them.
 
-    The text keeps its white space: a word goes with the white space that follows it.
+    The text keeps its white space: a word goes with the white space that follows it. Each row is a
+    document of its own, also where ids are null or repeated: texts of one id count in the order of
+    their hash. Rows of one id and one text are one document, so they lose the same words.
     """
+    if window > MOST_WINDOW:
+        raise ValueError(f"a window has at most {MOST_WINDOW} words")
+    keyed = with_text_ids(docs, doc_id, text, ids_are_keys(docs, doc_id))
+    return _without_repeats(keyed, window, ROW, text).drop(ROW)
+
+
+def _without_repeats(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
     key = F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint")
     spans = stored(repeated_spans(docs.select(key.alias("id"), text), window))
     listed = spans.groupBy(F.col("id").alias("__id")).agg(

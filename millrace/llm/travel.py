@@ -1,7 +1,10 @@
-"""Texts compressed for the way through a shuffle, to a half or a third of what Spark's own makes."""
+"""Texts on their way: compressed for a shuffle, to a half or a third of what Spark's own makes,
+and cut into stretches that a worker takes at once."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column
@@ -24,3 +27,16 @@ def opened(packed: list[bytes | None]) -> list[str]:
     """Texts of compressed binaries; null gives the empty text."""
     unpack = zstandard.ZstdDecompressor().decompress
     return [unpack(p).decode() if p else "" for p in packed]
+
+
+def stretches(column: pa.Array, empty: str | bytes, most: int) -> Iterator[list]:
+    """The values of a column in lists of about ``most`` characters, nulls as ``empty``."""
+    part, size = [], 0
+    for value in column:
+        part.append(value.as_py() or empty)
+        size += len(part[-1])
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
