@@ -27,13 +27,13 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.hashing import chunks, mixed, sequence_hashes, word_hashes
 from millrace.llm.rows import ROW, ids_are_keys, with_row_ids
-from millrace.llm.storage import discard, stored
+from millrace.llm.storage import discard, free_shuffles, stored
 from millrace.llm.travel import compressed, opened
 
 COORDINATES = 64
@@ -378,12 +378,12 @@ def _similar_rows(docs: DataFrame, sim: Similarity, doc_id: str, text: str) -> D
     """The same of rows whose id is a key; only one may be null."""
     rows = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint").alias("id"), text)
     sized = stored(_map_sets(rows, sim))
-    # One shuffle by signature: they are counted, and found again, where they lie. 48 bits of them
-    # do, as more than the repeated ones may stay.
-    sigs = _map_signatures(rows, sim).withColumn("short", F.shiftright("sig", 16))
-    dealt = sigs.repartition("short")
-    repeated = dealt.groupBy("short").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    cells = stored(dealt.join(repeated, "short").select("sig", "class").distinct())
+    # Signatures are made and shuffled once, and counted where they then lie.
+    times = F.count(F.lit(1)).over(Window.partitionBy("sig"))
+    repeated = _map_signatures(rows, sim).withColumn("times", times).where("times > 1")
+    cells = stored(repeated.select("sig", "class").distinct())
+    del repeated
+    free_shuffles(rows.sparkSession)
     leaders = _weighty(cells)
     pairs = stored(
         cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()

@@ -44,18 +44,22 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete ``stored`` tables whose last reader has been written.
-
-    Spark deletes the files of shuffles that nothing refers to any more when the driver's garbage
-    collector has noticed; it is asked to look.
-    """
+    """Delete ``stored`` tables whose last reader has been written."""
     for df in frames:
         spark, folder = df.sparkSession, _folders.pop(id(df), (None, None))[1]
         if folder:
             remove(spark, folder)
     if frames:
-        gc.collect()
-        frames[0].sparkSession._jvm.System.gc()
+        free_shuffles(frames[0].sparkSession)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that nothing refers to any more.
+
+    It does when the driver's garbage collector has noticed, which is asked to look.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def _drop(spark: SparkSession, folder: str) -> None:
