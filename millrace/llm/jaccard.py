@@ -271,29 +271,29 @@ def _weighty(cells: DataFrame) -> DataFrame:
     return cells.join(weights, "class").groupBy("sig").agg(F.max_by("class", order).alias("b"))
 
 
-def _rare_cells(
-    apart: DataFrame, sets: DataFrame, sim: Similarity
-) -> tuple[DataFrame, DataFrame]:
-    """Cells (sig, class, label) by the rarest n-grams of each class, and the table of its n-grams.
+def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """Cells (sig, class, label) by the rarest n-grams of each class.
 
     With all n-grams in one order, similar sets share one among the first that are more than they
     may differ in; in the order of their counts, near copies share few of these but with the
-    copies that have hardly any of their own.
+    copies that have hardly any of their own. N-grams of one class come first in this order and make
+    no cell, so their number is all that is needed of them.
     """
-    grams = apart.join(sets.select("class", "n", "grams"), "class")
-    each = stored(grams.select("class", "label", "n", F.explode("grams").alias("gram")))
-    counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
-    ranked = each.join(counts, "gram", "left").groupBy("class", "label", "n").agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("count"), "gram"))
-        ).alias("grams")
+    grams = apart.select("class").join(sets.select("class", "grams"), "class")
+    each = grams.select("class", F.explode("grams").alias("gram"))
+    count = F.count(F.lit(1)).over(Window.partitionBy("gram"))
+    shared = each.withColumn("count", count).where("count > 1")
+    ranked = shared.groupBy("class").agg(
+        F.sort_array(F.collect_list(F.struct("count", "gram"))).alias("grams")
     )
+    rows = ranked.join(apart, "class").join(sets.select("class", "n"), "class")
     smallest = f"((n * {sim.num} + {sim.den - 1}) div {sim.den})"
     each_way = sim.num + sim.den
     common = f"(((n + {smallest}) * {sim.num} + {each_way - 1}) div {each_way})"
-    first = F.slice("grams", F.lit(1), F.expr(f"cast(least(n, n - {common} + 1) as int)"))
-    cells = ranked.select("class", "label", F.explode(first).alias("g")).where("g.count > 1")
-    return cells.select(F.col("g.gram").alias("sig"), "class", "label"), each
+    left = F.expr(f"cast(greatest(0, size(grams) - greatest({common}, 1) + 1) as int)")
+    first = F.slice("grams", F.lit(1), left)
+    cells = rows.select("class", "label", F.explode(first).alias("g"))
+    return cells.select(F.col("g.gram").alias("sig"), "class", "label")
 
 
 def _searched(
@@ -312,9 +312,8 @@ def _searched(
     )
     wide = state.where("n > 2 and low < high").select("sig")
     apart = placed.join(wide, "sig").select("class", "label").distinct()
-    rare, each = _rare_cells(apart, sets, sim)
-    dealt = stored(rare)
-    discard(each)
+    dealt = stored(_rare_cells(apart, sets, sim))
+    free_shuffles(cells.sparkSession)
     counts = dealt.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("sig").agg(
         F.max_by("label", F.struct("n", "label")).alias("top"),
