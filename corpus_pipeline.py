@@ -1,8 +1,10 @@
 """A training corpus from raw documents: quality, near copies, repeats, mix, tokens.
 
 Each stage takes the session, the documents its predecessor kept and the folder of the tables,
-and returns documents, the last one their tokens. Stages decide by doc_id, so rows of one id stay
-or go together.
+and returns documents, the last one their tokens. Rows that share an id, or have none, are documents
+of their own from near_copies on; the labels of an id hold for all its rows. Null texts are empty:
+quality scores them, near_copies keeps them, and mix drops what has no words. Empty tables stay
+empty, and other columns than those of documents are not looked at.
 """
 
 from __future__ import annotations
