@@ -5,12 +5,15 @@ at most k n-grams, k following from their sizes, so if n-grams are dealt by hash
 groups, some group is the same in both. Classes are brought together by equal groups, within
 ranges of sizes, which no unrelated texts share.
 
-In each such cell every class is first compared with the one that shares most cells with others. The
-classes of cells that aren't all connected by then are dealt anew, by their rarest n-grams, and
-searched in these smaller cells: n-grams are counted by hash into coordinates, boxes over these
-points bound every overlap by the sum of the smaller coordinates, and the pairs that survive are
-compared exactly, except those already connected. Links therefore come out complete up to
-connection, without all pairs of a group of copies.
+N-grams are also counted by hash into coordinates. The sum of the smaller coordinates of two such
+points bounds the overlap of their sets from above, and boxes over points bound it for many sets.
+
+In each cell every class is first compared with the one that shares most cells with others. In cells
+that aren't all connected by then, boxes are searched for classes that may be similar to one of
+another component; the others are done. What is left is dealt anew, by the rarest n-grams of each
+class, and searched in these smaller cells: the pairs whose bound suffices are compared exactly,
+except those already connected. Links therefore come out complete up to connection, without all
+pairs of a group of copies, and n-grams are moved only of classes that may still link.
 
 N-grams and sets are told apart by hashes of 64 bits. Null and empty texts and texts without words
 have no n-grams and are linked with nothing; a text of fewer words than n is one n-gram. Rows of
@@ -36,7 +39,8 @@ from millrace.llm.rows import ROW, ids_are_keys, with_row_ids
 from millrace.llm.storage import discard, free_shuffles, stored
 from millrace.llm.travel import compressed, opened
 
-COORDINATES = 64
+COORDINATES = 16, 4096  # of a point, fewest and most; between them a quarter or less of the n-grams
+FULL = 255  # a coordinate that counts as many n-grams or more
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
 CHUNK = 256  # classes of a cluster compared with as many others at once
@@ -130,8 +134,18 @@ def signatures(grams: np.ndarray, sim: Similarity) -> np.ndarray:
 
 
 def coordinates(grams: np.ndarray) -> np.ndarray:
-    """How many n-grams fall into each coordinate."""
-    return np.bincount((grams % np.uint64(COORDINATES)).astype(np.int64), minlength=COORDINATES)
+    """How many n-grams fall into each coordinate, whose number follows from the set's size."""
+    least, most = COORDINATES
+    many = min(most, max(least, 1 << max(0, len(grams).bit_length() - 2)))
+    counts = np.bincount((grams % np.uint64(many)).astype(np.int64), minlength=many)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def same_space(points: list[np.ndarray]) -> np.ndarray:
+    """Points of different sizes in the coordinates of the smallest; full ones bound nothing."""
+    least = min(map(len, points))
+    wide = [np.where(p == FULL, 1 << 30, p.astype(np.int64)) for p in points]
+    return np.array([p.reshape(-1, least).sum(0) for p in wide])
 
 
 class BoxTree:
@@ -167,7 +181,7 @@ def cell_links(
 ) -> Iterator[tuple[int, int]]:
     """Links between classes that the labels and the links before don't connect."""
     parents = {label: label for label in labels}
-    points = np.array([coordinates(s) for s in sets])
+    points = same_space([coordinates(s) for s in sets])
     tree = BoxTree(points, np.array([len(s) for s in sets]), sim)
     for i, grams in enumerate(sets):
         for j in tree.similar(points[i], len(grams)):
@@ -181,21 +195,37 @@ def cell_links(
                 yield classes[i], classes[j]
 
 
+def may_link(points: list[np.ndarray], sizes: np.ndarray, labels: list[int], sim: Similarity) -> list[bool]:
+    """Whether each point may overlap enough with one of another label."""
+    placed, named = same_space(points), np.array(labels)
+    tree = BoxTree(placed, sizes, sim)
+    return [
+        bool((named[tree.similar(point, size)] != label).any())
+        for point, size, label in zip(placed, sizes, named)
+    ]
+
+
 def _map_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """(id, n, class) of every row."""
+    """(id, n, class, point) of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys = [], []
+            n, keys, points = [], [], []
             for grams in text_sets(batch.column(1).to_pylist(), sim.n):
                 n.append(len(grams))
                 keys.append(set_hash(grams))
+                points.append(coordinates(grams).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64())],
-                ["id", "n", "class"],
+                [
+                    batch.column(0),
+                    pa.array(n, pa.int64()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(points, pa.binary()),
+                ],
+                ["id", "n", "class", "point"],
             )
 
-    return docs.mapInArrow(rows, "id bigint, n bigint, class bigint")
+    return docs.mapInArrow(rows, "id bigint, n bigint, class bigint, point binary")
 
 
 def _map_signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
@@ -219,48 +249,54 @@ def _map_signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
 
 
 def _map_grams(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """(class, grams, points) of rows (id, text, class) whose text has the class asked for."""
+    """(class, grams, n) of rows (id, text, class) whose text has the class asked for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets, points = [], [], []
+            keys, sets = [], []
             wanted = batch.column(2).to_pylist()
             texts = opened(batch.column(1).to_pylist())
             for grams, key in zip(text_sets(texts, sim.n), wanted):
                 if set_hash(grams) == key:
                     keys.append(key)
                     sets.append(grams.view(np.int64))
-                    points.append(coordinates(grams).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(sets, pa.list_(pa.int64())),
-                    pa.array(points, pa.list_(pa.int32())),
-                ],
-                ["class", "grams", "points"],
+                [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                ["class", "grams"],
             )
 
-    found = docs.mapInArrow(rows, "class bigint, grams array<bigint>, points array<int>")
-    return found.dropDuplicates(["class"]).withColumn("n", F.size("grams"))
+    found = docs.mapInArrow(rows, "class bigint, grams array<bigint>")
+    return found.withColumn("n", F.size("grams"))
+
+
+def _beside(pairs: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with the columns of both classes, named for their side."""
+    for side in ("a", "b"):
+        named = [F.col(c).alias(f"{c}_{side}") for c in columns]
+        pairs = pairs.join(classes.select(F.col("class").alias(side), *named), side)
+    return pairs
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs (a, b) of classes whose points allow for enough overlap."""
+
+    @F.arrow_udf("bigint")
+    def overlap(ours: pa.Array, theirs: pa.Array) -> pa.Array:
+        both = zip(ours.to_pylist(), theirs.to_pylist())
+        spaces = (same_space([np.frombuffer(x, np.uint8) for x in pair]) for pair in both)
+        return pa.array([int(space.min(0).sum()) for space in spaces], pa.int64())
+
+    beside = _beside(pairs, classes, "point", "n")
+    bound = overlap("point_a", "point_b") * (sim.num + sim.den)
+    return beside.where(bound >= sim.num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs (a, b) of classes that are similar; bounded first, then compared exactly."""
-    each, least = F.lit(sim.num + sim.den), F.lit(sim.num)
-
-    def beside(rows: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            named = [F.col(c).alias(f"{c}_{side}") for c in columns]
-            rows = rows.join(sets.select(F.col("class").alias(side), *named), side)
-        return rows
-
-    smaller = F.zip_with("points_a", "points_b", lambda x, y: F.least(x, y))
-    bound = F.aggregate(smaller, F.lit(0), lambda s, x: s + x)
-    sizes = beside(pairs, "points", "n")
-    near = sizes.where(bound * each >= least * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    """The pairs (a, b) of classes that are similar."""
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     total = F.size("grams_a") + F.size("grams_b")
-    return beside(near, "grams").where(common * each >= least * total).select("a", "b")
+    alike = common * (sim.num + sim.den) >= sim.num * total
+    return _beside(pairs, sets, "grams").where(alike).select("a", "b")
 
 
 def _weighty(cells: DataFrame) -> DataFrame:
@@ -296,24 +332,61 @@ def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame
     return cells.select(F.col("g.gram").alias("sig"), "class", "label")
 
 
-def _searched(
-    cells: DataFrame, known: DataFrame, sets: DataFrame, sim: Similarity
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Links (a, b) in cells (sig, class) of which the known (node, root) leave some apart.
+def _apart(cells: DataFrame, known: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """(class, label) of what may link with a class that the known (node, root) leave apart.
 
-    Their classes are dealt anew by rare n-grams. In a cell of these, the classes of the commonest
-    label aren't compared with each other; all others are, and with those, in chunks. The stored
-    tables that the links are read from come with them.
+    Cells of the same classes are one. Those of up to CHUNK classes are searched by points; of
+    larger ones all classes are taken.
     """
     placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
     state = placed.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.count(F.lit(1)).alias("size"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        *(F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"members_{k}") for k in (1, 2)),
+    )
+    wide = state.where("size > 2 and low < high")
+    wide = wide.groupBy("size", "members_1", "members_2").agg(F.min("sig").alias("sig"))
+    found = stored(placed.join(wide.select("sig", "size"), "sig"))
+    small = found.where(F.col("size") <= CHUNK)
+    tasks = max(1, ceil(small.count() / TASK_ROWS))
+    loaded = small.join(classes.select("class", "n", "point"), "class").select(
+        F.pmod(F.xxhash64("sig"), F.lit(tasks)).alias("task"), "sig", "class", "label", "n", "point"
     )
-    wide = state.where("n > 2 and low < high").select("sig")
-    apart = placed.join(wide, "sig").select("class", "label").distinct()
+
+    def possible(table: pa.Table) -> pa.Table:
+        parts: dict[int, list[int]] = defaultdict(list)
+        for row, sig in enumerate(table["sig"].to_pylist()):
+            parts[sig].append(row)
+        names, labels = table["class"].to_pylist(), table["label"].to_pylist()
+        points = [np.frombuffer(p, np.uint8) for p in table["point"].to_pylist()]
+        sizes = table["n"].to_numpy()
+        some: dict[int, int] = {}
+        for rows in parts.values():
+            near = may_link([points[r] for r in rows], sizes[rows], [labels[r] for r in rows], sim)
+            some |= {names[r]: labels[r] for r, yes in zip(rows, near) if yes}
+        columns = [pa.array(some.keys(), pa.int64()), pa.array(some.values(), pa.int64())]
+        return pa.table(columns, names=["class", "label"])
+
+    near = loaded.groupBy("task").applyInArrow(possible, "class bigint, label bigint")
+    rest = found.where(F.col("size") > CHUNK).select("class", "label")
+    apart = stored(near.unionByName(rest).distinct())
+    discard(found)
+    return apart
+
+
+def _searched(
+    apart: DataFrame, sets: DataFrame, sim: Similarity
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Links (a, b) of classes (class, label) that their labels leave apart.
+
+    They are dealt anew by rare n-grams. In a cell of these, the classes of the commonest
+    label aren't compared with each other; all others are, and with those, in chunks. The stored
+    tables that the links are read from come with them.
+    """
     dealt = stored(_rare_cells(apart, sets, sim))
-    free_shuffles(cells.sparkSession)
+    free_shuffles(apart.sparkSession)
     counts = dealt.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("sig").agg(
         F.max_by("label", F.struct("n", "label")).alias("top"),
@@ -376,7 +449,10 @@ def similar_documents(
 def _similar_rows(docs: DataFrame, sim: Similarity, doc_id: str, text: str) -> DataFrame:
     """The same of rows whose id is a key; only one may be null."""
     rows = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).cast("bigint").alias("id"), text)
-    sized = stored(_map_sets(rows, sim))
+    mapped = stored(_map_sets(rows, sim))
+    sized = mapped.select("id", "n", "class")
+    ids = sized.where("n > 0").groupBy("class").agg(F.min("id").alias("id"))
+    classes = stored(mapped.join(ids, ["class", "id"], "left_semi"))
     # Signatures are made and shuffled once, and counted where they then lie.
     times = F.count(F.lit(1)).over(Window.partitionBy("sig"))
     repeated = _map_signatures(rows, sim).withColumn("times", times).where("times > 1")
@@ -384,19 +460,25 @@ def _similar_rows(docs: DataFrame, sim: Similarity, doc_id: str, text: str) -> D
     del repeated
     free_shuffles(rows.sparkSession)
     leaders = _weighty(cells)
-    pairs = stored(
-        cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b").distinct()
-    )
-    ids = sized.where("n > 0").groupBy("class").agg(F.min("id").alias("id"))
-    asked = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    asked = asked.withColumnRenamed("a", "class").join(ids, "class")
+    pairs = cells.join(leaders, "sig").where("class != b").select(F.col("class").alias("a"), "b")
+    near = stored(_bounded(pairs.distinct(), classes, sim))
+    free_shuffles(rows.sparkSession)
     packed = rows.select("id", compressed(F.col(text)).alias("text"))
-    sets = stored(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
-    first = stored(_compared(pairs, sets, sim))
-    discard(pairs)
-    searched, used = _searched(cells, components(first), sets, sim)
+
+    def grams_of(asked: DataFrame) -> DataFrame:
+        asked = classes.join(asked, "class", "left_semi").select("id", "class")
+        return stored(_map_grams(packed.join(asked, "id").select("id", "text", "class"), sim))
+
+    sides = [near.select(F.col(side).alias("class")) for side in ("a", "b")]
+    sets = grams_of(sides[0].unionByName(sides[1]).distinct())
+    first = stored(_compared(near, sets, sim))
+    discard(near, sets)
+    apart = _apart(cells, components(first), classes, sim)
+    discard(cells)
+    sets = grams_of(apart)
+    searched, used = _searched(apart, sets, sim)
     more = stored(searched)
-    discard(cells, sets, *used)
+    discard(apart, sets, *used)
     roots = components(first.unionByName(more))
     rooted = ids.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "id", F.coalesce("root", "class").alias("root")
