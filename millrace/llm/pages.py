@@ -48,6 +48,9 @@ OUTSIDE_WORDS = frozenset(
     " pagination pager search".split()
 )
 TEXT_WORDS = frozenset("article content entry story post main text body".split())
+LAYOUT_WORDS = frozenset(  # a name with one of these says what is beside the text, or isn't
+    "no not non without with has have enabled disabled none".split()
+)
 CONTAINERS = frozenset("article main div section td body blockquote center".split())
 ENDS_BEFORE = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "td"}
 
@@ -97,15 +100,28 @@ def _child_path(parent: str, name: str) -> str:
     return path
 
 
+def is_aside(names: list[str]) -> bool:
+    """Whether these classes and ids mark something beside the main text.
+
+    A name of one word always does, if that word does. A compound one does not if it only tells
+    of the layout (no-sidebar, share-enabled), nor if another name is all words of a main text.
+    """
+    words = [set(WORD.findall(name)) for name in names]
+    marks = [w for w in words if w & OUTSIDE_WORDS and not w & LAYOUT_WORDS]
+    named_text = any(w and w <= TEXT_WORDS for w in words)
+    return any(len(w) == 1 or not named_text for w in marks)
+
+
 def _element(tag: str, rest: str, parent: Element, wanted: str | None) -> Element:
     found: dict[str, str] = {}
     if rest and not rest.isspace():
         for name, *values in ATTRIBUTE.findall(rest):
             found.setdefault(name.lower(), next((v for v in values if v), "").lower())
-    words = set(WORD.findall(found.get("class", "") + " " + found.get("id", "")))
+    names = (found.get("class", "") + " " + found.get("id", "")).split()
+    words = {word for name in names for word in WORD.findall(name)}
     outside = parent.outside or tag in OUTSIDE
     if tag not in ("article", "main", "body", "html"):
-        outside = outside or not words.isdisjoint(OUTSIDE_WORDS) or "hidden" in found
+        outside = outside or is_aside(names) or "hidden" in found
         outside = outside or found.get("role", "") in OUTSIDE_ROLES
     path, weight = parent.path, 0
     if tag in CONTAINERS and tag != "body":

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 from random import Random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -262,6 +263,47 @@ def test_pages_give_their_article(spark):
     assert found == {1: wanted, 2: "", 3: "", 4: wanted}
 
 
+@pytest.mark.parametrize(
+    "classes, kept",
+    [
+        ("content no-sidebar", True),
+        ("post share-enabled", True),
+        ("entry-content sidebar-left", True),
+        ("has-sidebar", True),
+        ("comment", False),
+        ("comment body", False),
+        ("comment-content", False),
+        ("site-sidebar", False),
+        ("ad no-print", False),
+    ],
+)
+def test_classes_about_layout_keep_the_text(classes, kept):
+    page = f"<body><div class='{classes}'><p>Words of it</p></div><nav>Home</nav></body>"
+    assert main_text(page, None) == ("Words of it" if kept else "")
+
+
+def test_points_bound_every_overlap():
+    random, sim = Random(3), Similarity(5, 4, 5)
+    draw = lambda n: np.array(random.sample(range(1 << 40), n), np.uint64)
+    base = draw(3000)
+    for size in (1, 5, 70, 600, 3000):
+        kept, own = base[:size], draw(max(1, size // 9))
+        one, other = np.unique(kept), np.unique(np.concatenate([kept[: size - size // 20], own]))
+        sets = [one, other, draw(size)]
+        points = [jaccard.coordinates(s) for s in sets]
+        space = jaccard.same_space(points)
+        common = len(np.intersect1d(one, other))
+        assert space[:2].min(0).sum() >= common
+        near = common >= sim.least_common(len(one) + len(other))
+        found = jaccard.may_link(points, np.array([len(s) for s in sets]), [1, 2, 2], sim)
+        assert found[:2] == [True, True] or not near
+        assert not any(jaccard.may_link(points, np.array([len(s) for s in sets]), [1, 1, 1], sim))
+    full = np.arange(600, dtype=np.uint64) << np.uint64(20)  # all in one coordinate
+    point = jaccard.coordinates(full)
+    assert point.max() == jaccard.FULL
+    assert jaccard.same_space([point, point]).min(0).sum() >= len(full)
+
+
 def test_classifier_on_held_out_documents(spark, tables):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
