@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.storage import stored
 from millrace.llm.urls import url_host
 
 # Elements of HTML by how they are read.
@@ -67,6 +68,8 @@ ATTRIBUTE = re.compile(
 )
 WORD = re.compile(r"[a-z]+")
 LONGEST_PATH = 200
+FEW_HOSTS = 100_000  # whose paths are broadcast, some 40 MB at most
+SALTS = 32  # tasks that the pages of a host are dealt over if there are more hosts
 
 
 @dataclass
@@ -269,11 +272,23 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     winners = winning_paths(pages, url_host(F.col(url)), html).select(
         F.col("host").alias("__host"), F.col("path").alias("__path")
     )
+    winners = stored(winners)
+    keyed = pages.withColumn("__of", url_host(F.col(url)))
+    matched = F.col("__of") == F.col("__host")
+    if winners.count() <= FEW_HOSTS:  # pages stay where they are
+        winners = F.broadcast(winners)
+    else:
+        salt = F.pmod(F.xxhash64(F.col(url), F.col(html)), F.lit(SALTS)).cast("int")
+        keyed = keyed.withColumn("__turn", salt)
+        turns = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        winners = winners.withColumn("__salt", turns)
+        matched &= F.col("__turn") == F.col("__salt")
 
     @F.arrow_udf("string")
     def text(htmls: pa.Array, paths: pa.Array) -> pa.Array:
         both = zip(htmls.to_pylist(), paths.to_pylist())
         return pa.array([main_text(h or "", p) for h, p in both], pa.string())
 
-    joined = pages.join(winners, url_host(F.col(url)) == F.col("__host"), "left")
-    return joined.withColumn("text", text(F.col(html), F.col("__path"))).drop("__host", "__path")
+    joined = keyed.join(winners, matched, "left")
+    found = joined.withColumn("text", text(F.col(html), F.col("__path")))
+    return found.drop("__host", "__path", "__of", "__turn", "__salt")

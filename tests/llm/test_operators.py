@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import jaccard
+from millrace.llm import jaccard, pages
 from millrace.llm.bpe import bpe_decode, bpe_encode, token_count
 from millrace.llm.components import components
 from millrace.llm.counts import count_tokens
@@ -248,7 +248,7 @@ def test_urls_follow_the_longest_rule(spark):
     assert filter_urls(pages.where("page_id > 99"), rules).count() == 0
 
 
-def test_pages_give_their_article(spark):
+def test_pages_give_their_article(spark, monkeypatch):
     page = (
         "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><a href=x>Home"
         "</a></nav><div class='cookie-notice'>We use cookies</div><article class='post-7'><h1>Head"
@@ -261,6 +261,11 @@ def test_pages_give_their_article(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r["page_id"]: r["text"] for r in extract_pages(frame).collect()}
     assert found == {1: wanted, 2: "", 3: "", 4: wanted}
+    monkeypatch.setattr(pages, "FEW_HOSTS", 0)  # the salted join
+    again = extract_pages(frame)
+    assert again.columns == [*frame.columns, "text"]
+    assert {r["page_id"]: r["text"] for r in again.collect()} == found
+    assert extract_pages(frame.where("false")).count() == 0
 
 
 @pytest.mark.parametrize(
