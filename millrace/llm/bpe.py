@@ -2,17 +2,20 @@
 
 A pre-token's merges are found without replaying them: a sequence of tokens is the result of the
 merges exactly if every two neighbours are what the merges make of the two alone. The encoder
-takes the longest token at each position, found for all positions by one pass of an Aho-Corasick
-automaton over the reversed pre-token, keeps it if it is compatible with its left neighbour, and
-else tries the next shorter token or steps back. Positions that failed are not tried again, so
-the time is linear in the pre-token. Where longest tokens one after the other are compatible all
-along, which is usual, a forward pass of the automaton already gives the result.
+takes the longest token at each position, found by an Aho-Corasick automaton, keeps it if it is
+compatible with its left neighbour, and else tries the next shorter token or steps back. Positions
+that failed are not tried again and each position's longest token is found once, so the time is
+linear in the pre-token. Up to the first neighbours that are not compatible, one pass of the
+automaton gives the result; it goes on from there position by position.
 
 Nulls count as empty texts and give no ids; decoding an empty or null list gives the empty text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from struct import pack
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -24,27 +27,59 @@ from millrace.llm.travel import stretches
 from millrace.llm.vocabulary import Vocabulary, read_vocabulary, vocabulary
 
 REMEMBERED = 1 << 18  # pre-tokens in each of two generations of a worker's memory
+LONG = 64  # letters above which a pre-token is not remembered
 STRETCH = 1 << 20  # characters of text that are encoded together
 
 
+class Memory(dict):
+    """Packed ids by pre-token; one that is not known is encoded when it is asked for.
+
+    What the generation before knew is taken over when it is asked for again. Long pre-tokens are
+    not kept.
+    """
+
+    def __init__(self, encode: Callable[[bytes], list[int]], before: dict[str, bytes]) -> None:
+        super().__init__()
+        self._encode, self._before = encode, before
+
+    def __missing__(self, word: str) -> bytes:
+        packed = self._before.get(word)
+        if packed is None:
+            ids = self._encode(word.encode())
+            packed = pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONG:
+            self[word] = packed
+        return packed
+
+    def next(self) -> Memory:
+        """This memory, or a new one after it if it is full."""
+        if len(self) < REMEMBERED:
+            return self
+        self._before = {}
+        return Memory(self._encode, self)
+
+
 class Encoder:
     """Ids of a text, by a vocabulary."""
 
     def __init__(self, words: Vocabulary) -> None:
         self.words = words
-        self.length = {i: len(piece) for i, piece in words.pieces.items()}
-        self.parts = {merged: pair for pair, merged in words.merge_of.items()}
-        self.parts |= {i: (i, i) for i in words.byte_ids}
-        self.shorter = {i: self._longest_proper_prefix(p) for p, i in words.id_of.items()}
-        self._forward, self._starts = ahocorasick.Automaton(), ahocorasick.Automaton()
+        size = max(words.pieces) + 1
+        self.length, self.shorter = [0] * size, [-1] * size
+        for i, piece in words.pieces.items():
+            self.length[i] = len(piece)
+        self.size, self.first, self.last = size, list(range(size)), list(range(size))
+        self._merged: dict[int, int] = {}
+        for (left, right), i in words.merge_of.items():
+            self.first[i], self.last[i] = left, right
+            self._merged[left * size + right] = i
+        self._longest = ahocorasick.Automaton()
         for piece, i in words.id_of.items():
-            self._forward.add_word(piece.decode("latin-1"), i)
-            self._starts.add_word(piece[::-1].decode("latin-1"), i)
-        self._forward.make_automaton()
-        self._starts.make_automaton()
+            self.shorter[i] = self._longest_proper_prefix(piece)
+            self._longest.add_word(piece.decode("latin-1"), i)
+        self._longest.make_automaton()
         self._compatible: dict[tuple[int, int], bool] = {}
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._memory = Memory(self.pretoken, {})
 
     def _longest_proper_prefix(self, piece: bytes) -> int:
         for n in range(len(piece) - 1, 0, -1):
@@ -65,81 +100,69 @@ class Encoder:
     def _stay_apart(self, left: int, right: int) -> bool:
         # Undo the latest merge beside the border again and again. A pair across the border
         # that would have merged before the merge just undone contradicts the border.
-        merges, parts = self.words.merge_of, self.parts
-        bound = len(self.words.pieces) + 1
-        while True:
-            across = merges.get((left, right))
-            if across is not None and across < bound:
-                return False
-            if left > right:
+        merged, size, first, last = self._merged.get, self.size, self.first, self.last
+        bound = size
+        while merged(left * size + right, bound) >= bound:
+            if (left > right and last[left] != left) or first[right] == right:
                 bound, whole = left, left
-                left = parts[whole][1]
-                if left == whole:  # a single byte: only the right side is left to undo
-                    bound, whole = right + 1, right
-                    right = parts[whole][0]
-                    if right == whole:
-                        return True
+                left = last[whole]
+                if left == whole:  # single bytes on both sides
+                    return True
             else:
                 bound, whole = right + 1, right
-                right = parts[whole][0]
-                if right == whole:
-                    bound, whole = left, left
-                    left = parts[whole][1]
-                    if left == whole:
-                        return True
+                right = first[whole]
+        return False
 
     def pretoken(self, word: bytes) -> list[int]:
-        greedy = [token for _, token in self._forward.iter_long(word.decode("latin-1"))]
+        letters = word.decode("latin-1")
+        tokens = [token for _, token in self._longest.iter_long(letters)]
         compatible, known = self.compatible, self._compatible.get
-        for pair in zip(greedy, greedy[1:]):
+        for i, pair in enumerate(zip(tokens, tokens[1:]), 1):
             fits = known(pair)
             if not (compatible(*pair) if fits is None else fits):
-                return self._backtrack(word)
-        return greedy
-
-    def _backtrack(self, word: bytes) -> list[int]:
-        n = len(word)
-        longest = [-1] * n
-        for end, token in self._starts.iter(word[::-1].decode("latin-1")):
-            if longest[n - 1 - end] < 0 or self.length[token] > self.length[longest[n - 1 - end]]:
-                longest[n - 1 - end] = token
-        open_at = bytearray(b"\1") * (n + 1)
-        tokens: list[int] = []
-        at, token = 0, longest[0]
+                return self._backtrack(letters, tokens[:i], tokens[i])
+        return tokens
+
+    def _backtrack(self, letters: str, tokens: list[int], token: int) -> list[int]:
+        """The ids, from where the longest ``token`` does not fit behind ``tokens``."""
+        length, shorter, iter_long = self.length, self.shorter, self._longest.iter_long
+        compatible, known = self.compatible, self._compatible.get
+        longest: dict[int, int] = {}  # by position, of those that are come to
+        closed: set[int] = set()
+        n, at = len(letters), sum(map(length.__getitem__, tokens))
         while True:
-            end = at + self.length[token]
-            if open_at[end] and (not tokens or self.compatible(tokens[-1], token)):
+            end = at + length[token]
+            fits = end not in closed
+            if fits and tokens:
+                fits = known((tokens[-1], token))
+                if fits is None:
+                    fits = compatible(tokens[-1], token)
+            if fits:
                 tokens.append(token)
                 if end == n:
                     return tokens
-                at, token = end, longest[end]
-            elif self.shorter[token] >= 0:
-                token = self.shorter[token]
+                at, token = end, longest.get(end, -1)
+                if token < 0:  # a single byte is a token, so the next match starts here
+                    token = longest[at] = next(iter_long(letters, at))[1]
+            elif shorter[token] >= 0:
+                token = shorter[token]
             else:
-                open_at[at] = 0
+                closed.add(at)
                 token = tokens.pop()
-                at -= self.length[token]
+                at -= length[token]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. Pre-tokens that were not met before are encoded once each."""
-        cut = [list(self.words.pretokens(text)) for text in texts]
-        unmet = set().union(*(words for parts in cut for _, words in parts)) - self._young.keys()
-        for word in unmet:
-            known = self._old.get(word)
-            self._young[word] = known or np.array(self.pretoken(word.encode()), "<u4").tobytes()
-        ids = self._young.__getitem__
-        packed = [
-            b"".join(
-                b"".join(map(ids, words)) if special is None else np.uint32(special).tobytes()
-                for special, words in parts
+        packed = []
+        for text in texts:
+            ids = self._memory.__getitem__
+            packed.append(
+                b"".join(
+                    b"".join(map(ids, words)) if special is None else np.uint32(special).tobytes()
+                    for special, words in self.words.pretokens(text)
+                )
             )
-            for parts in cut
-        ]
-        for word in unmet:
-            if len(word) > 64:
-                del self._young[word]
-        if len(self._young) > REMEMBERED:
-            self._young, self._old = {}, self._young
+            self._memory = self._memory.next()
         return packed
 
 
