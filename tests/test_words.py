@@ -83,3 +83,20 @@ def test_words_and_sentences_are_not_shuffled(spark):
     for name in ("word_tokens", "text_sentences"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
         assert "Exchange" not in plan.executedPlan().toString()
+
+
+def test_words_and_sentences_are_counted(spark, root):
+    texts = [(1, "A b. a"), (1, "a.A b"), (2, "b a"), (None, "b b")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    rows.write.parquet(f"{root}/documents.parquet")
+    found = QUERIES["text_sentences"](spark, root)
+    assert found.columns == ["sentence", "n"]
+    counts = {tuple(r) for r in found.collect()}
+    assert counts == {("A b", 2), (" a", 1), ("a", 1), ("b a", 1), ("b b", 1)}
+
+
+def test_tokens_and_sentences_are_map_only(spark, root):
+    spark.createDataFrame([("a b.a",)], "value string").write.text(f"{root}/text")
+    pieces = sentences(spark, f"{root}/text")
+    for frame in (pieces, tokens(pieces)):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
