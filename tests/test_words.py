@@ -89,6 +89,10 @@ def test_words_and_sentences_are_counted(spark, root):
     texts = [(1, "A b. a"), (1, "a.A b"), (2, "b a"), (None, "b b")]
     rows = spark.createDataFrame(texts, "doc_id long, text string")
     rows.write.parquet(f"{root}/documents.parquet")
+    words = QUERIES["word_tokens"](spark, root)
+    assert words.columns == ["doc_id", "word", "n"]
+    counts = {tuple(r) for r in words.collect()}
+    assert counts == {(1, "a", 4), (1, "b", 2), (2, "a", 1), (2, "b", 1), (None, "b", 2)}
     found = QUERIES["text_sentences"](spark, root)
     assert found.columns == ["sentence", "n"]
     counts = {tuple(r) for r in found.collect()}
