@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +52,38 @@ from millrace.queries.inputs import (
     time_waves,
 )
 from millrace.schemas import INVOICE_COLUMNS, ITEM_COLUMNS, LOG_TABLE
-from millrace.session import rocksdb_state, run_dir
+from millrace.session import SHUFFLE_PARTITIONS_CONF, rocksdb_state, run_dir, state_partitions
 from millrace.sources import envelope_files, from_timestamp, table
-from millrace.streaming import Snapshots, listening, state_rows, watermark
+from millrace.streaming import Snapshots, listening, state_rows, stored_bytes, watermark
 
-# Bounds of a micro-batch, whatever there is to read.
+# Bounds of a micro-batch as long as few batches drain what there is to read.
 TEXT_BYTES = 16 << 20
 PARQUET_BYTES = 2 << 20
+BATCHES = 4
+STATE_BYTES = 4 << 20  # of input, for one partition of state
 
 LINE_COLUMNS = [*(name.split(".")[-1] for name in INVOICE_COLUMNS), *ITEM_COLUMNS]
 
+
+def batch_bytes(spark: SparkSession, path: str, least: int) -> int:
+    """Bound of a micro-batch that drains ``path``: ``least``, or the share of one in ``BATCHES``.
+
+    Each batch of complete mode writes the whole result, and each loads and commits all state
+    partitions, so batches of a fixed size would cost the square of what there is to read.
+    """
+    return max(least, -(-stored_bytes(spark, path) // BATCHES))
+
+
+def fitting_state(spark: SparkSession, path: str) -> AbstractContextManager[None]:
+    """State in as many partitions as the rows under ``path`` fill, at most the session's.
+
+    A batch loads and commits each partition, however little is in it.
+    """
+    filled = 1 + stored_bytes(spark, path) // STATE_BYTES
+    most = int(spark.conf.get(SHUFFLE_PARTITIONS_CONF))
+    return state_partitions(spark, min(most, max(filled, spark.sparkContext.defaultParallelism)))
+
+
 def balanced(df: DataFrame, folder: str) -> DataFrame:
     """Rows of one folder together, in as many tasks as they fill; not a file per task and folder."""
     return df.hint("rebalance", F.col(folder))
@@ -193,12 +217,13 @@ def stream_rewards_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_table(spark) as bronze, rocksdb_state(spark):
         bronze_invoices(
             spark, landing, f"{root}/bronze_checkpoint", bronze, "batch",
-            path=f"{root}/bronze", max_bytes=TEXT_BYTES,
-        ).awaitTermination()
-        rewards_updated(
-            spark, bronze, store.apply, f"{root}/checkpoint", "batch",
-            exact=True, max_bytes=PARQUET_BYTES,
+            path=f"{root}/bronze", max_bytes=batch_bytes(spark, landing, TEXT_BYTES),
         ).awaitTermination()
+        with fitting_state(spark, f"{root}/bronze"):
+            rewards_updated(
+                spark, bronze, store.apply, f"{root}/checkpoint", "batch",
+                exact=True, max_bytes=batch_bytes(spark, f"{root}/bronze", PARQUET_BYTES),
+            ).awaitTermination()
     return as_double(store.read(spark))
 
 

@@ -20,6 +20,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    where, files = _open(spark, path)
+    return files.getContentSummary(where).getLength()
+
+
 def attempts(spark: SparkSession, root: str, kind: str) -> dict[int, str]:
     """The newest finished attempt at each ``root/kind=<id>``, by ascending id.
 
