@@ -23,6 +23,22 @@ def batches_of(monkeypatch, store, method):
     return seen
 
 
+def test_rewards_are_upserted_in_few_batches(spark, root, monkeypatch):
+    orders = load(spark, SMALL, "orders").limit(60)
+    years = (F.col("o_orderkey") % 40 + 1980).cast("string")
+    orders = orders.withColumn("o_orderdate", F.to_timestamp(years, "yyyy"))
+    orders.write.parquet(f"{root}/orders.parquet")
+    for name in ("TEXT_BYTES", "PARQUET_BYTES"):
+        monkeypatch.setattr(streams, name, 1)
+    total = orders.agg(F.sum("o_totalprice")).first()[0]
+    seen = batches_of(monkeypatch, UpsertStore, "apply")
+    for query in (streams.stream_rewards_update, streams.stream_rewards_accumulate):
+        found = query(spark, root).agg(F.sum("TotalAmount")).first()[0]
+        assert abs(found - total) < 0.01
+        assert 1 < len(seen) <= 2 * streams.BATCHES + 1
+        seen.clear()
+
+
 def test_state_partitions_follow_the_input(spark, root, monkeypatch):
     spark.range(1000).repartition(4).write.parquet(f"{root}/rows")
     before = spark.conf.get(SHUFFLE_PARTITIONS_CONF)
