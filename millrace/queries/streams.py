@@ -90,10 +90,11 @@ def balanced(df: DataFrame, folder: str) -> DataFrame:
 
 
 def landed_invoices(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Nested invoices as JSON files in folders by year."""
+    """Nested invoices as compressed JSON files in folders by year."""
     path = f"{root}/landing"
     nested = nested_invoices(load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem"))
-    balanced(by_year(nested), "year").write.partitionBy("year").json(path)
+    rows = balanced(by_year(nested), "year")
+    rows.write.partitionBy("year").option("compression", "gzip").json(path)
     return path
 
 
@@ -139,9 +140,10 @@ def running_invoice_lines(spark: SparkSession, sf_dir: str, trigger: str | None)
     """Line items from a query that would run on, stopped when it has caught up."""
     root = run_dir(spark, "running_invoice_lines")
     landing, items = landed_invoices(spark, sf_dir, root), f"{root}/items"
+    share = batch_bytes(spark, landing, TEXT_BYTES)
     with scratch_table(spark) as name:
         query = invoice_lines_stream(
-            spark, landing, f"{root}/checkpoint", name, trigger, path=items, max_bytes=TEXT_BYTES
+            spark, landing, f"{root}/checkpoint", name, trigger, path=items, max_bytes=share
         )
         try:
             query.processAllAvailable()

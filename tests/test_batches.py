@@ -52,3 +52,13 @@ def test_state_partitions_follow_the_input(spark, root, monkeypatch):
             assert spark.conf.get(SHUFFLE_PARTITIONS_CONF) == str(cores + 5)
     finally:
         spark.conf.set(SHUFFLE_PARTITIONS_CONF, before)
+
+
+def test_landed_invoices_are_compressed_and_whole(spark, root):
+    path = streams.landed_invoices(spark, SMALL, root)
+    files = glob(f"{path.removeprefix('file:')}/year=*/part-*")
+    assert files and all(name.endswith(".json.gz") for name in files)
+    invoices = nested_invoices(load(spark, SMALL, "orders"), load(spark, SMALL, "lineitem"))
+    lines = F.sum(F.size("InvoiceLineItems"))
+    expected = invoices.agg(F.count("*"), lines).first()
+    assert spark.read.json(path).agg(F.count("*"), lines).first() == expected
