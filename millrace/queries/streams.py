@@ -129,9 +129,10 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_invoice_lines")
     landing, items = landed_invoices(spark, sf_dir, root), f"{root}/items"
+    share = batch_bytes(spark, landing, TEXT_BYTES)
     with scratch_table(spark) as name:
         invoice_lines_stream(
-            spark, landing, f"{root}/checkpoint", name, "batch", path=items, max_bytes=TEXT_BYTES
+            spark, landing, f"{root}/checkpoint", name, "batch", path=items, max_bytes=share
         ).awaitTermination()
     return spark.read.parquet(items).select(*LINE_COLUMNS)
 
