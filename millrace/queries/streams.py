@@ -120,9 +120,11 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, result = f"{root}/text", Snapshots(f"{root}/counts")
     texts = load(spark, sf_dir, "documents").select("text", "lang")
     balanced(texts, "lang").write.partitionBy("lang").option("lineSep", ".").text(text)
-    word_count_stream(
-        spark, text, result.save, f"{root}/checkpoint", "batch", max_bytes=TEXT_BYTES
-    ).awaitTermination()
+    with fitting_state(spark, text):
+        word_count_stream(
+            spark, text, result.save, f"{root}/checkpoint", "batch",
+            max_bytes=batch_bytes(spark, text, TEXT_BYTES),
+        ).awaitTermination()
     return result.read(spark)
 
 
@@ -164,7 +166,8 @@ def stream_interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_log_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_log_to_bronze")
     path, bronze = landed_log(spark, sf_dir, root), f"{root}/bronze"
-    log = envelope_files(spark, path, stream=True, max_bytes=PARQUET_BYTES)
+    share = batch_bytes(spark, path, PARQUET_BYTES)
+    log = envelope_files(spark, path, stream=True, max_bytes=share)
     with scratch_table(spark) as name:
         ingest_log(
             log, f"{root}/checkpoint", name, EVENT_PAYLOAD, "batch", bronze
@@ -264,10 +267,12 @@ def stream_trade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sensor_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_sensor_sliding")
     path, result = landed_log(spark, sf_dir, root), Snapshots(f"{root}/summary")
-    log = envelope_files(spark, path, stream=True, max_bytes=PARQUET_BYTES)
-    sensor_maximum_stream(
-        log, result.save, f"{root}/checkpoint", "batch", slide="5 minutes"
-    ).awaitTermination()
+    share = batch_bytes(spark, path, PARQUET_BYTES)
+    log = envelope_files(spark, path, stream=True, max_bytes=share)
+    with fitting_state(spark, path):
+        sensor_maximum_stream(
+            log, result.save, f"{root}/checkpoint", "batch", slide="5 minutes"
+        ).awaitTermination()
     return bounds_as_ntz(result.read(spark))
 
 
@@ -308,7 +313,8 @@ def stream_inserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_log_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream_log_checked")
     damaged_log(load(spark, sf_dir, "events")).write.parquet(f"{root}/log")
-    log = envelope_files(spark, f"{root}/log", stream=True, max_bytes=PARQUET_BYTES)
+    share = batch_bytes(spark, f"{root}/log", PARQUET_BYTES)
+    log = envelope_files(spark, f"{root}/log", stream=True, max_bytes=share)
     with scratch_table(spark) as name:
         ingest_checked(
             log, f"{root}/checkpoint", name, EVENT_PAYLOAD, "batch", f"{root}/sides"

@@ -23,6 +23,13 @@ def batches_of(monkeypatch, store, method):
     return seen
 
 
+def test_complete_mode_writes_its_result_few_times(spark, monkeypatch):
+    monkeypatch.setattr(streams, "PARQUET_BYTES", 1)
+    seen = batches_of(monkeypatch, Snapshots, "save")
+    streams.stream_sensor_sliding(spark, SMALL).count()
+    assert 1 < len(seen) <= 2 * streams.BATCHES + 1
+
+
 def test_rewards_are_upserted_in_few_batches(spark, root, monkeypatch):
     orders = load(spark, SMALL, "orders").limit(60)
     years = (F.col("o_orderkey") % 40 + 1980).cast("string")
