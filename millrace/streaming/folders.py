@@ -21,9 +21,9 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all files under ``path``."""
+    """Bytes of all files under ``path``; none if it does not exist."""
     where, files = _open(spark, path)
-    return files.getContentSummary(where).getLength()
+    return files.getContentSummary(where).getLength() if files.exists(where) else 0
 
 
 def attempts(spark: SparkSession, root: str, kind: str) -> dict[int, str]:
