@@ -10,10 +10,11 @@ points bounds the overlap of their sets from above, and boxes over points bound
 
 In each cell every class is first compared with the one that shares most cells with others. In cells
 that aren't all connected by then, boxes are searched for classes that may be similar to one of
-another component; the others are done. What is left is dealt anew, by the rarest n-grams of each
-class, and searched in these smaller cells: the pairs whose bound suffices are compared exactly,
-except those already connected. Links therefore come out complete up to connection, without all
-pairs of a group of copies, and n-grams are moved only of classes that may still link.
+another component, first by coarse points and then, of the classes found, by fine ones; the others
+are done. What is left is dealt anew, by the rarest n-grams of each class, and searched in these
+smaller cells: the pairs whose bound suffices are compared exactly, except those already connected.
+Links therefore come out complete up to connection, without all pairs of a group of copies, and
+n-grams are moved only of classes that may still link. A cell of any size is searched in parts.
 
 N-grams and sets are told apart by hashes of 64 bits. Null and empty texts and texts without words
 have no n-grams and are linked with nothing; a text of fewer words than n is one n-gram. Rows of
@@ -30,7 +31,8 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -40,6 +42,7 @@ from millrace.llm.storage import discard, free_shuffles, stored
 from millrace.llm.travel import compressed, opened
 
 COORDINATES = 16, 4096  # of a point, fewest and most; between them a quarter or less of the n-grams
+FINE = 1 << 14  # coordinates of a fine point, most; up to it, two to four times the n-grams
 FULL = 255  # a coordinate that counts as many n-grams or more
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
@@ -136,7 +139,15 @@ def signatures(grams: np.ndarray, sim: Similarity) -> np.ndarray:
 def coordinates(grams: np.ndarray) -> np.ndarray:
     """How many n-grams fall into each coordinate, whose number follows from the set's size."""
     least, most = COORDINATES
-    many = min(most, max(least, 1 << max(0, len(grams).bit_length() - 2)))
+    return _counted(grams, min(most, max(least, 1 << max(0, len(grams).bit_length() - 2))))
+
+
+def fine_coordinates(grams: np.ndarray) -> np.ndarray:
+    """The same of so many coordinates that few n-grams meet others, for a bound close to the overlap."""
+    return _counted(grams, min(FINE, max(COORDINATES[0], 2 << len(grams).bit_length())))
+
+
+def _counted(grams: np.ndarray, many: int) -> np.ndarray:
     counts = np.bincount((grams % np.uint64(many)).astype(np.int64), minlength=many)
     return np.minimum(counts, FULL).astype(np.uint8)
 
@@ -206,26 +217,31 @@ def may_link(points: list[np.ndarray], sizes: np.ndarray, labels: list[int], sim
 
 
 def _map_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """(id, n, class, point) of every row."""
+    """(id, n, class, point, fine) of every row; points are compressed."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            n, keys, points = [], [], []
+            n, keys, points, fine = [], [], [], []
             for grams in text_sets(batch.column(1).to_pylist(), sim.n):
                 n.append(len(grams))
                 keys.append(set_hash(grams))
-                points.append(coordinates(grams).tobytes())
+                points.append(pack(coordinates(grams).tobytes()))
+                fine.append(pack(fine_coordinates(grams).tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n, pa.int64()),
                     pa.array(keys, pa.int64()),
                     pa.array(points, pa.binary()),
+                    pa.array(fine, pa.binary()),
                 ],
-                ["id", "n", "class", "point"],
+                ["id", "n", "class", "point", "fine"],
             )
 
-    return docs.mapInArrow(rows, "id bigint, n bigint, class bigint, point binary")
+    return docs.mapInArrow(
+        rows, "id bigint, n bigint, class bigint, point binary, fine binary"
+    )
 
 
 def _map_signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
@@ -269,6 +285,11 @@ def _map_grams(docs: DataFrame, sim: Similarity) -> DataFrame:
     return found.withColumn("n", F.size("grams"))
 
 
+def _points(packed: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return (np.frombuffer(unpack(p), np.uint8) for p in packed.to_pylist())
+
+
 def _beside(pairs: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
     """Pairs (a, b) with the columns of both classes, named for their side."""
     for side in ("a", "b"):
@@ -282,8 +303,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame
 
     @F.arrow_udf("bigint")
     def overlap(ours: pa.Array, theirs: pa.Array) -> pa.Array:
-        both = zip(ours.to_pylist(), theirs.to_pylist())
-        spaces = (same_space([np.frombuffer(x, np.uint8) for x in pair]) for pair in both)
+        spaces = map(same_space, zip(_points(ours), _points(theirs)))
         return pa.array([int(space.min(0).sum()) for space in spaces], pa.int64())
 
     beside = _beside(pairs, classes, "point", "n")
@@ -332,47 +352,87 @@ def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame
     return cells.select(F.col("g.gram").alias("sig"), "class", "label")
 
 
-def _apart(cells: DataFrame, known: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
-    """(class, label) of what may link with a class that the known (node, root) leave apart.
+def _parts(cells: DataFrame) -> DataFrame:
+    """Cells (sig, class, label) in parts (sig, i, j, class, label) that hold what is to be compared.
 
-    Cells of the same classes are one. Those of up to CHUNK classes are searched by points; of
-    larger ones all classes are taken.
+    A cell of up to CHUNK classes is one part. In a larger one the classes of the commonest label
+    aren't compared with each other; all others are, and with those, in chunks.
     """
-    placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
-    state = placed.groupBy("sig").agg(
+    counts = cells.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("sig").agg(
+        F.max_by("label", F.struct("n", "label")).alias("top"),
+        F.sum("n").alias("size"),
+        F.ceil(F.max("n") / CHUNK).alias("top_parts"),
+        F.ceil((F.sum("n") - F.max("n")) / CHUNK).alias("parts"),
+    )
+    parted = cells.join(sizes.where("parts > 0"), "sig").withColumn("hash", F.xxhash64("class"))
+    is_top, whole = F.col("label") == F.col("top"), F.col("size") <= CHUNK
+    own = F.when(is_top, F.col("parts") + F.pmod("hash", "top_parts")).otherwise(
+        F.pmod("hash", "parts")
+    )
+    facing = F.col("parts") + F.when(is_top, 0).otherwise(F.col("top_parts"))
+    turn = F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(whole, 0).otherwise(facing - 1)))
+    rows = parted.withColumn("own", F.when(whole, 0).otherwise(own)).withColumn("other", turn)
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    return rows.select("sig", i, j, "class", "label")
+
+
+def _tasks(parts: DataFrame, cell: str = "sig") -> Column:
+    """The task of each part, of so many that each has TASK_ROWS on average."""
+    tasks = max(1, ceil(parts.count() / TASK_ROWS))
+    return F.pmod(F.xxhash64(cell, "i", "j"), F.lit(tasks)).alias("task")
+
+
+def _members(table: pa.Table, cell: str = "sig") -> list[list[int]]:
+    """The rows of each part."""
+    parts: dict[tuple, list[int]] = defaultdict(list)
+    for row, key in enumerate(zip(*(table[c].to_pylist() for c in (cell, "i", "j")))):
+        parts[key].append(row)
+    return list(parts.values())
+
+
+def _possible(
+    cells: DataFrame, least: int, classes: DataFrame, point: str, sim: Similarity
+) -> DataFrame:
+    """Of cells (sig, class, label) the classes that may link with one of another label there.
+
+    Cells of the same classes are one, and those of less than ``least`` are left out.
+    """
+    state = cells.groupBy("sig").agg(
         F.count(F.lit(1)).alias("size"),
         F.min("label").alias("low"),
         F.max("label").alias("high"),
         *(F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"members_{k}") for k in (1, 2)),
     )
-    wide = state.where("size > 2 and low < high")
+    wide = state.where((F.col("size") >= least) & (F.col("low") < F.col("high")))
     wide = wide.groupBy("size", "members_1", "members_2").agg(F.min("sig").alias("sig"))
-    found = stored(placed.join(wide.select("sig", "size"), "sig"))
-    small = found.where(F.col("size") <= CHUNK)
-    tasks = max(1, ceil(small.count() / TASK_ROWS))
-    loaded = small.join(classes.select("class", "n", "point"), "class").select(
-        F.pmod(F.xxhash64("sig"), F.lit(tasks)).alias("task"), "sig", "class", "label", "n", "point"
+    parts = stored(_parts(cells.join(wide.select("sig"), "sig")))
+    loaded = parts.join(classes.select("class", "n", F.col(point).alias("point")), "class").select(
+        _tasks(parts), "sig", "i", "j", "class", "label", "n", "point"
     )
 
     def possible(table: pa.Table) -> pa.Table:
-        parts: dict[int, list[int]] = defaultdict(list)
-        for row, sig in enumerate(table["sig"].to_pylist()):
-            parts[sig].append(row)
-        names, labels = table["class"].to_pylist(), table["label"].to_pylist()
-        points = [np.frombuffer(p, np.uint8) for p in table["point"].to_pylist()]
-        sizes = table["n"].to_numpy()
-        some: dict[int, int] = {}
-        for rows in parts.values():
+        labels, points = table["label"].to_pylist(), list(_points(table["point"]))
+        sizes, some = table["n"].to_numpy(), []
+        for rows in _members(table):
             near = may_link([points[r] for r in rows], sizes[rows], [labels[r] for r in rows], sim)
-            some |= {names[r]: labels[r] for r, yes in zip(rows, near) if yes}
-        columns = [pa.array(some.keys(), pa.int64()), pa.array(some.values(), pa.int64())]
-        return pa.table(columns, names=["class", "label"])
-
-    near = loaded.groupBy("task").applyInArrow(possible, "class bigint, label bigint")
-    rest = found.where(F.col("size") > CHUNK).select("class", "label")
-    apart = stored(near.unionByName(rest).distinct())
-    discard(found)
+            some += [r for r, yes in zip(rows, near) if yes]
+        return table.select(["sig", "class", "label"]).take(pa.array(some, pa.int64()))
+
+    near = loaded.groupBy("task").applyInArrow(possible, "sig bigint, class bigint, label bigint")
+    found = stored(near.distinct())
+    discard(parts)
+    return found
+
+
+def _apart(cells: DataFrame, known: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """(class, label) of what may link with a class that the known (node, root) leave apart."""
+    placed = cells.join(known.withColumnRenamed("node", "class"), "class", "left")
+    placed = placed.select("sig", "class", F.coalesce("root", "class").alias("label"))
+    roughly = _possible(placed, 3, classes, "point", sim)  # two have been compared
+    closely = _possible(roughly, 2, classes, "fine", sim)
+    apart = stored(closely.select("class", "label").distinct())
+    discard(roughly, closely)
     return apart
 
 
@@ -381,44 +441,22 @@ def _searched(
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Links (a, b) of classes (class, label) that their labels leave apart.
 
-    They are dealt anew by rare n-grams. In a cell of these, the classes of the commonest
-    label aren't compared with each other; all others are, and with those, in chunks. The stored
-    tables that the links are read from come with them.
+    They are dealt anew by rare n-grams. The stored tables that the links are read from come with
+    them.
     """
     dealt = stored(_rare_cells(apart, sets, sim))
     free_shuffles(apart.sparkSession)
-    counts = dealt.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("sig").agg(
-        F.max_by("label", F.struct("n", "label")).alias("top"),
-        F.ceil(F.max("n") / CHUNK).alias("top_parts"),
-        F.ceil((F.sum("n") - F.max("n")) / CHUNK).alias("parts"),
-    )
-    parted = dealt.join(sizes.where("parts > 0"), "sig").withColumn("hash", F.xxhash64("class"))
-    is_top = F.col("label") == F.col("top")
-    own = F.when(is_top, F.col("parts") + F.pmod("hash", "top_parts")).otherwise(
-        F.pmod("hash", "parts")
-    )
-    facing = F.col("parts") + F.when(is_top, 0).otherwise(F.col("top_parts"))
-    turn = F.explode(F.sequence(F.lit(0).cast("bigint"), facing - 1))
-    rows = parted.withColumn("own", own).withColumn("other", turn)
-    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    rows = stored(rows.select(F.col("sig").alias("cluster"), i, j, "class", "label"))
-    tasks = max(1, ceil(rows.count() / TASK_ROWS))
-    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)).alias("task")
+    rows = stored(_parts(dealt).withColumnRenamed("sig", "cluster"))
     loaded = rows.join(sets.select("class", "grams"), "class").select(
-        task, "cluster", "i", "j", "class", "label", "grams"
+        _tasks(rows, "cluster"), "cluster", "i", "j", "class", "label", "grams"
     )
 
     def links(table: pa.Table) -> pa.Table:
-        parts: dict[tuple, list[int]] = defaultdict(list)
-        keys = zip(*(table[c].to_pylist() for c in ("cluster", "i", "j")))
-        for row, key in enumerate(keys):
-            parts[key].append(row)
         names, labels = table["class"].to_pylist(), table["label"].to_pylist()
         sets = [np.array(g.values).view(np.uint64) for g in table["grams"]]
         found = [
             link
-            for rows in parts.values()
+            for rows in _members(table, "cluster")
             for link in cell_links(
                 [names[r] for r in rows], [labels[r] for r in rows], [sets[r] for r in rows], sim
             )

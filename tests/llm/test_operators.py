@@ -168,6 +168,33 @@ def test_copies_apart_are_searched_in_small_cells(spark, monkeypatch):
     assert sum(sent) < 300 * 300 / 2  # all pairs of the group, each once
 
 
+def classes_apart(spark, texts, sim):
+    """Numbers of the texts, all in one cell and none linked yet, that are searched for links."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    classes = jaccard.stored(jaccard._map_sets(frame, sim))
+    cells = classes.select(F.lit(1).cast("bigint").alias("sig"), "class")
+    known = spark.createDataFrame([], "node long, root long")
+    apart = jaccard._apart(cells, known, classes, sim).join(classes, "class")
+    return sorted(r["id"] for r in apart.select("id").collect())
+
+
+def test_large_cells_are_searched_by_points(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    texts = [" ".join(f"t{k}x{i}" for i in range(100)) for k in range(30)]
+    texts += [texts[17].replace("t17x50", "new"), texts[4].replace("t4x99", "")]
+    assert classes_apart(spark, texts, Similarity(3, 9, 10)) == [4, 17, 30, 31]
+
+
+def test_fine_points_leave_out_what_is_not_quite_similar(spark):
+    random, base = Random(8), [f"w{i}" for i in range(400)]
+    texts = []
+    for k in range(12):
+        places = set(random.sample(range(400), 8))
+        texts.append(" ".join(f"n{k}" if i in places else w for i, w in enumerate(base)))
+    near = texts[3].replace("w399", "end")
+    assert classes_apart(spark, [*texts, near], Similarity(5, 4, 5)) == [3, 12]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
