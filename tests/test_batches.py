@@ -69,3 +69,12 @@ def test_landed_invoices_are_compressed_and_whole(spark, root):
     lines = F.sum(F.size("InvoiceLineItems"))
     expected = invoices.agg(F.count("*"), lines).first()
     assert spark.read.json(path).agg(F.count("*"), lines).first() == expected
+
+
+def test_interval_trigger_drains_compressed_files(spark, root, monkeypatch):
+    monkeypatch.setattr(streams, "run_dir", lambda spark, label: f"{root}/{label}")
+    found = streams.stream_interval_trigger(spark, SMALL)
+    assert found.count() == load(spark, SMALL, "lineitem").count()
+    landed = f"{root.removeprefix('file:')}/running_invoice_lines/landing"
+    files = glob(f"{landed}/year=*/part-*")
+    assert files and all(name.endswith(".json.gz") for name in files)
