@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import bpe_decode, bpe_encode, token_count
+from millrace.llm.bpe import bpe_decode, bpe_encode, share_vocabulary, token_count
 from millrace.llm.jaccard import Similarity, one_of_each
 from millrace.llm.mixing import mixed_documents
 from millrace.llm.quality import document_statistics, fit_quality, quality_score
@@ -57,8 +57,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and whether they decode to its text."""
     path = vocabulary_path()
-    encoded = docs.withColumn("ids", bpe_encode(spark, F.col("text"), path))
-    decoded = encoded.withColumn("__back", bpe_decode(spark, F.col("ids"), path))
+    shared = share_vocabulary(spark, path)
+    encoded = docs.withColumn("ids", bpe_encode(spark, F.col("text"), path, shared))
+    decoded = encoded.withColumn("__back", bpe_decode(spark, F.col("ids"), path, shared))
     same = F.col("__back") == F.coalesce("text", F.lit(""))
     return decoded.select(
         "doc_id", "source", token_count(F.col("ids")).alias("n_tokens"), "ids", same.alias("exact")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.travel import stretches
 from millrace.llm.vocabulary import Vocabulary, read_vocabulary, vocabulary
+from millrace.llm.workers import built
 
 REMEMBERED = 1 << 18  # pre-tokens in each of two generations of a worker's memory
 LONG = 64  # letters above which a pre-token is not remembered
@@ -183,14 +184,8 @@ class Decoder:
         return self.table[places].tobytes()
 
 
-_built: dict[tuple[type, int], object] = {}
-
-
 def _worker(kind: type, spec: dict):
-    key = (kind, id(spec))
-    if key not in _built:
-        _built[key] = kind(vocabulary(spec))
-    return _built[key]
+    return built(kind, spec["digest"], lambda: kind(vocabulary(spec)))
 
 
 def share_vocabulary(spark: SparkSession, path: str) -> Broadcast:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.vocabulary import Vocabulary, read_vocabulary, vocabulary
+from millrace.llm.workers import built
 
 REMEMBERED = 1 << 18  # pre-tokens whose count a worker remembers
 SHORT = 48  # symbols up to which the best pair is found by looking at all
@@ -105,9 +106,6 @@ class Counter:
         return total
 
 
-_counters: dict[int, Counter] = {}
-
-
 def count_tokens(spark: SparkSession, text: Column, path: str) -> Column:
     """Number of tokens of the text; special strings inside it count as their token."""
     spec = read_vocabulary(path)
@@ -116,10 +114,7 @@ def count_tokens(spark: SparkSession, text: Column, path: str) -> Column:
     @F.arrow_udf("bigint")
     def count(texts: pa.Array) -> pa.Array:
         spec, whole = shared.value
-        if id(spec) not in _counters:
-            _counters.clear()
-            _counters[id(spec)] = Counter(vocabulary(spec), whole)
-        tokens = _counters[id(spec)].text
+        tokens = built(Counter, spec["digest"], lambda: Counter(vocabulary(spec), whole)).text
         return pa.array([tokens(t or "") for t in texts.to_pylist()], pa.int64())
 
     return count(text)

@@ -44,6 +44,7 @@ from millrace.llm.travel import compressed, opened
 COORDINATES = 16, 4096  # of a point, fewest and most; between them a quarter or less of the n-grams
 FINE = 1 << 14  # coordinates of a fine point, most; up to it, two to four times the n-grams
 FULL = 255  # a coordinate that counts as many n-grams or more
+ENDLESS = 1 << 30  # n-grams that a full coordinate may stand for
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
 CHUNK = 256  # classes of a cluster compared with as many others at once
@@ -155,8 +156,11 @@ def _counted(grams: np.ndarray, many: int) -> np.ndarray:
 def same_space(points: list[np.ndarray]) -> np.ndarray:
     """Points of different sizes in the coordinates of the smallest; full ones bound nothing."""
     least = min(map(len, points))
-    wide = [np.where(p == FULL, 1 << 30, p.astype(np.int64)) for p in points]
-    return np.array([p.reshape(-1, least).sum(0) for p in wide])
+    placed = np.empty((len(points), least), np.int32)
+    for row, p in zip(placed, points):
+        wide = np.where(p == FULL, ENDLESS, p.astype(np.int64)).reshape(-1, least).sum(0)
+        row[:] = np.minimum(wide, ENDLESS)
+    return placed
 
 
 class BoxTree:
@@ -412,10 +416,11 @@ def _possible(
     )
 
     def possible(table: pa.Table) -> pa.Table:
-        labels, points = table["label"].to_pylist(), list(_points(table["point"]))
+        labels, packed = table["label"].to_pylist(), table["point"].combine_chunks()
         sizes, some = table["n"].to_numpy(), []
-        for rows in _members(table):
-            near = may_link([points[r] for r in rows], sizes[rows], [labels[r] for r in rows], sim)
+        for rows in _members(table):  # points are opened for one part after the other
+            points = list(_points(packed.take(pa.array(rows, pa.int64()))))
+            near = may_link(points, sizes[rows], [labels[r] for r in rows], sim)
             some += [r for r, yes in zip(rows, near) if yes]
         return table.select(["sig", "class", "label"]).take(pa.array(some, pa.int64()))
 

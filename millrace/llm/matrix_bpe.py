@@ -20,6 +20,7 @@ import base64
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.travel import stretches
+from millrace.llm.workers import built
 
 NEVER = np.int32(2**31 - 1)  # the rank of a pair that does not merge
 CELLS = 1 << 19  # of a matrix
@@ -100,13 +102,16 @@ class Ranks:
     pairs: PairTable
     pattern: str
     newer: str
+    digest: str
 
 
 def read_ranks(path: str, pattern: str) -> Ranks:
     """What the encoders need of a file of ranks; some MB, fixed by the file, to be broadcast."""
     rank_of: dict[bytes, int] = {}
+    digest = sha256(pattern.encode())
     with open(path, "rb") as file:
         for line in file:
+            digest.update(line)
             if line.strip():
                 piece, rank = line.split()
                 rank_of[base64.b64decode(piece)] = int(rank)
@@ -127,7 +132,8 @@ def read_ranks(path: str, pattern: str) -> Ranks:
         raise ValueError(f"{path} has no token for the bytes {missing}")
     byte_ids = np.array([rank_of[bytes([b])] for b in range(256)], np.int32)
     table = PairTable.of(left, right, rank.astype(np.int32))
-    return Ranks(pieces, byte_ids, table, pattern, newer_letters(pattern))
+    newer = newer_letters(pattern)
+    return Ranks(pieces, byte_ids, table, pattern, newer, digest.hexdigest())
 
 
 def newer_letters(pattern: str) -> str:
@@ -308,14 +314,8 @@ class MatrixDecoder:
         return [joined[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-_built: dict[tuple[type, int], object] = {}
-
-
 def _worker(kind: type, ranks: Ranks):
-    key = (kind, id(ranks))
-    if key not in _built:
-        _built[key] = kind(ranks)
-    return _built[key]
+    return built(kind, ranks.digest, lambda: kind(ranks))
 
 
 def share_ranks(spark: SparkSession, path: str, pattern: str) -> Broadcast:

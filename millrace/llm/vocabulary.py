@@ -7,9 +7,12 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from hashlib import sha256
 
 import regex
 
+from millrace.llm.workers import built
+
 # Contractions, words, numbers, signs and white space of the pre-tokeniser.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{s}{L}{N}]+|[{s}]+(?![^{s}])|[{s}]+"
 BEYOND = re.compile("[\U00010000-\U0010ffff]")
@@ -22,8 +25,9 @@ def read_vocabulary(path: str) -> dict:
     """
     from tokenizers import Tokenizer
 
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+    with open(path, "rb") as file:
+        raw = file.read()
+    spec = json.loads(raw)
     model = spec["model"]
     splitter = spec.get("pre_tokenizer") or {}
     plain = model["type"] == "BPE" and splitter.get("type") == "ByteLevel"
@@ -35,7 +39,13 @@ def read_vocabulary(path: str) -> dict:
         raise ValueError(f"the ids of {path} don't follow its merges")
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     splits = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-    return {"ids": ids, "merges": merges, "special": special, "newer": newer_letters(splits)}
+    return {
+        "ids": ids,
+        "merges": merges,
+        "special": special,
+        "newer": newer_letters(splits),
+        "digest": sha256(raw).hexdigest(),
+    }
 
 
 def newer_letters(pre_tokenize) -> str:
@@ -132,12 +142,6 @@ class Vocabulary:
         return [self.id_of[bytes([b])] for b in range(256)]
 
 
-_of_spec: dict[int, Vocabulary] = {}
-
-
 def vocabulary(spec: dict) -> Vocabulary:
     """The vocabulary of a broadcast spec, built once per worker process."""
-    if id(spec) not in _of_spec:
-        _of_spec.clear()
-        _of_spec[id(spec)] = Vocabulary(spec)
-    return _of_spec[id(spec)]
+    return built(Vocabulary, spec["digest"], lambda: Vocabulary(spec))

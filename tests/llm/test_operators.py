@@ -1,6 +1,7 @@
 """The operators on small tables against plain Python, and on the cases that break such code."""
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from random import Random
 
@@ -336,6 +337,21 @@ def test_points_bound_every_overlap():
     assert jaccard.same_space([point, point]).min(0).sum() >= len(full)
 
 
+def test_points_of_a_part_take_little_memory():
+    random = np.random.default_rng(4)
+    points = [random.integers(0, 3, 8192).astype(np.uint8) for _ in range(128)]
+    points[0][:] = jaccard.FULL  # full ones stay without an end in a space of few coordinates
+    space = jaccard.same_space([*points[:2], points[2][:16]])
+    assert (space[0] >= 1 << 30).all() and space[1].sum() == points[1].sum()
+    tracemalloc.start()
+    try:
+        jaccard.may_link(points[1:], np.full(127, 8192), list(range(127)), Similarity(5, 4, 5))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 5 * 4 * 8192 * 128  # five spaces of 32-bit numbers
+
+
 def test_classifier_on_held_out_documents(spark, tables):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

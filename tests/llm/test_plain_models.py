@@ -1,6 +1,8 @@
 """Pre-tokens, the encoder's memory and the url models against the libraries and plain Python."""
 
+import json
 import math
+import pickle
 import unicodedata
 from collections import Counter
 from random import Random
@@ -10,11 +12,12 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, urls
+from millrace.llm import bpe, matrix_bpe, urls, workers
 from millrace.llm.storage import ship_package
 from millrace.llm.vocabulary import Vocabulary, ranges, read_vocabulary
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +71,35 @@ def test_encoder_forgets_and_finds_again(words, library, monkeypatch):
     assert encoder.texts(texts) == [encoder.texts([t])[0] for t in texts]
 
 
+def test_a_worker_keeps_one_encoder_of_a_file_however_often_it_is_sent(monkeypatch, tmp_path):
+    """Each job broadcasts the file again, and workers outlive jobs."""
+    monkeypatch.setattr(workers, "_kept", {})
+    spec = read_vocabulary(PATH)
+    ranks = matrix_bpe.read_ranks(RANKS, public_tokenizers.PATTERN)
+    for kind, sent, module in ((bpe.Encoder, spec, bpe), (matrix_bpe.MatrixDecoder, ranks, matrix_bpe)):
+        first = module._worker(kind, pickle.loads(pickle.dumps(sent)))
+        assert all(module._worker(kind, pickle.loads(pickle.dumps(sent))) is first for _ in range(3))
+    assert sum(map(len, workers._kept.values())) == 3  # a vocabulary, its encoder and a decoder
+
+
+def test_a_worker_tells_files_apart_and_keeps_few(monkeypatch, tmp_path):
+    monkeypatch.setattr(workers, "_kept", {})
+    whole = json.loads(open(PATH, encoding="utf-8").read())
+    specs = []
+    for n in range(workers.KEPT + 1):  # the same tokens, fewer and fewer merges of them
+        model = whole["model"]
+        model["merges"] = model["merges"][: 1000 >> n]
+        model["vocab"] = {k: i for k, i in model["vocab"].items() if i < 256 + (1000 >> n)}
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(whole), encoding="utf-8")
+        specs.append((str(path), read_vocabulary(str(path))))
+    text = "the words of a sentence that is merged"
+    for path, spec in [*specs, *specs[::-1]]:
+        ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert bpe._worker(bpe.Encoder, spec).texts([text]) == [np.array(ids, "<u4").tobytes()]
+        assert len(workers._kept) <= workers.KEPT
+
+
 def symbols(address):
     """Numbers of the characters: letters without case, digits alike, bytes beyond ASCII alike."""
     known = {s: i + 1 for i, s in enumerate(urls.SIGNS)}
