@@ -40,6 +40,7 @@ from millrace.llm.hashing import chunks, mixed, sequence_hashes, word_hashes
 from millrace.llm.rows import ROW, ids_are_keys, with_row_ids
 from millrace.llm.storage import discard, free_shuffles, stored
 from millrace.llm.travel import compressed, opened
+from millrace.llm.workers import make_room
 
 COORDINATES = 16, 4096  # of a point, fewest and most; between them a quarter or less of the n-grams
 FINE = 1 << 14  # coordinates of a fine point, most; up to it, two to four times the n-grams
@@ -154,8 +155,21 @@ def _counted(grams: np.ndarray, many: int) -> np.ndarray:
 
 
 def same_space(points: list[np.ndarray]) -> np.ndarray:
-    """Points of different sizes in the coordinates of the smallest; full ones bound nothing."""
+    """Points of different sizes in the coordinates of the smallest; full ones bound nothing.
+
+    They stay numbers of 8 bits unless a coordinate is full, or has become so.
+    """
     least = min(map(len, points))
+    placed = np.empty((len(points), least), np.uint8)
+    for row, p in zip(placed, points):
+        folded = p if len(p) == least else p.reshape(-1, least).sum(0)
+        if folded.max() >= FULL:
+            return _wide_space(points, least)
+        row[:] = folded
+    return placed
+
+
+def _wide_space(points: list[np.ndarray], least: int) -> np.ndarray:
     placed = np.empty((len(points), least), np.int32)
     for row, p in zip(placed, points):
         wide = np.where(p == FULL, ENDLESS, p.astype(np.int64)).reshape(-1, least).sum(0)
@@ -224,6 +238,7 @@ def _map_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
     """(id, n, class, point, fine) of every row; points are compressed."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             n, keys, points, fine = [], [], [], []
@@ -252,6 +267,7 @@ def _map_signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
     """(sig, class), once for each group of each row's set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start in range(0, len(texts), 500):
@@ -272,6 +288,7 @@ def _map_grams(docs: DataFrame, sim: Similarity) -> DataFrame:
     """(class, grams, n) of rows (id, text, class) whose text has the class asked for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             keys, sets = [], []
             wanted = batch.column(2).to_pylist()
@@ -416,6 +433,7 @@ def _possible(
     )
 
     def possible(table: pa.Table) -> pa.Table:
+        make_room()
         labels, packed = table["label"].to_pylist(), table["point"].combine_chunks()
         sizes, some = table["n"].to_numpy(), []
         for rows in _members(table):  # points are opened for one part after the other
@@ -457,6 +475,7 @@ def _searched(
     )
 
     def links(table: pa.Table) -> pa.Table:
+        make_room()
         names, labels = table["class"].to_pylist(), table["label"].to_pylist()
         sets = [np.array(g.values).view(np.uint64) for g in table["grams"]]
         found = [

@@ -35,6 +35,7 @@ from millrace.llm.hashing import WORD_BASE, chunks, sequence_hashes, spans_hashe
 from millrace.llm.rows import ROW, ids_are_keys, with_text_ids
 from millrace.llm.storage import stored
 from millrace.llm.travel import compressed, opened
+from millrace.llm.workers import make_room
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ANCHOR_WORDS = 8
@@ -139,6 +140,7 @@ def _map_segments(docs: DataFrame, window: int) -> DataFrame:
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for first, part in chunks(batch.column(1).to_pylist()):
@@ -173,6 +175,7 @@ def _load_segments(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame
     names = ["anchor", "id", "place", "n", "kinds", "words"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             ids, texts, lists = (c.to_pylist() for c in batch.columns)
             for i, text, spans in zip(ids, opened(texts), lists):
@@ -200,6 +203,7 @@ def _streamed(segments: DataFrame, window: int) -> DataFrame:
     shards = max(1, ceil(segments.count() / SHARD_SEGMENTS))
 
     def spans(table: pa.Table) -> pa.Table:
+        make_room()
         automaton, found = SuffixAutomaton(), []
         ordered = sorted(zip(*(table[c].to_pylist() for c in ("id", "place", "words"))))
         for i, place, text in ordered:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
+
 KEPT = 2  # files whose products stay, those used last
 
 T = TypeVar("T")
@@ -23,3 +26,14 @@ def built(kind: type[T], digest: str, make: Callable[[], T]) -> T:
     if kind not in products:
         products[kind] = make()
     return products[kind]
+
+
+def make_room() -> None:
+    """Drop what steps before this one built here; steps that hold much of their own begin with it.
+
+    An idle product stays in its worker else, beside the sets, points and texts of the next step.
+    """
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()

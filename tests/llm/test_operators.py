@@ -352,6 +352,28 @@ def test_points_of_a_part_take_little_memory():
     assert peak < 5 * 4 * 8192 * 128  # five spaces of 32-bit numbers
 
 
+def test_points_without_full_coordinates_stay_narrow():
+    random, sim = np.random.default_rng(5), Similarity(5, 4, 5)
+    points = [random.integers(0, 4, n).astype(np.uint8) for n in [1024] * 120 + [2048] * 8]
+    points[1][:] = points[0]
+    sizes, labels = np.array([int(p.sum()) for p in points]), list(range(128))
+    narrow, wide = jaccard.same_space(points), jaccard._wide_space(points, 1024)
+    assert narrow.dtype == np.uint8 and (narrow == wide).all()
+    both = [jaccard.BoxTree(space, sizes, sim) for space in (narrow, wide)]
+    for i in range(128):
+        found = [tree.similar(p[i], sizes[i]) for tree, p in zip(both, (narrow, wide))]
+        assert found[0].tolist() == found[1].tolist()
+    high = np.full(32, 200, np.uint8)  # full once it is folded
+    assert jaccard.same_space([high, high[:16]]).tolist() == [[400] * 16, [200] * 16]
+    tracemalloc.start()
+    try:
+        assert jaccard.may_link(points[:128], sizes, labels, sim)[:2] == [True, True]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 5 * 1024 * 128  # five spaces of 8-bit numbers
+
+
 def test_classifier_on_held_out_documents(spark, tables):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -4,15 +4,17 @@ import json
 import math
 import pickle
 import unicodedata
+import weakref
 from collections import Counter
 from random import Random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, matrix_bpe, urls, workers
+from millrace.llm import bpe, jaccard, matrix_bpe, substrings, urls, workers
 from millrace.llm.storage import ship_package
 from millrace.llm.vocabulary import Vocabulary, ranges, read_vocabulary
 
@@ -82,6 +84,29 @@ def test_a_worker_keeps_one_encoder_of_a_file_however_often_it_is_sent(monkeypat
     assert sum(map(len, workers._kept.values())) == 3  # a vocabulary, its encoder and a decoder
 
 
+class Mapped:
+    """Stands for documents; keeps the function that a worker would run."""
+
+    def mapInArrow(self, rows, schema):  # noqa: N802
+        self.rows = rows
+        return self
+
+    def withColumn(self, name, column):  # noqa: N802
+        return self
+
+
+@pytest.mark.parametrize("step", [jaccard._map_sets, jaccard._map_signatures, substrings._map_segments])
+def test_other_steps_do_not_keep_an_encoder_beside_them(monkeypatch, step):
+    monkeypatch.setattr(workers, "_kept", {})
+    spec, text = read_vocabulary(PATH), " ".join(f"w{i % 40}" for i in range(90))
+    before = bpe._worker(bpe.Encoder, spec).texts([text])
+    kept, batch = weakref.ref(bpe._worker(bpe.Encoder, spec)), pa.record_batch({"id": [1], "text": [text]})
+    how = 20 if step is substrings._map_segments else jaccard.Similarity()
+    assert sum(b.num_rows for b in step(Mapped(), how).rows(iter([batch])))
+    assert not workers._kept and kept() is None
+    assert bpe._worker(bpe.Encoder, spec).texts([text]) == before  # built again
+
+
 def test_a_worker_tells_files_apart_and_keeps_few(monkeypatch, tmp_path):
     monkeypatch.setattr(workers, "_kept", {})
     whole = json.loads(open(PATH, encoding="utf-8").read())
