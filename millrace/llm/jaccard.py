@@ -49,6 +49,7 @@ ENDLESS = 1 << 30  # n-grams that a full coordinate may stand for
 LEAF = 16  # points in a box of the tree
 LEVELS = 6  # dealings tried where too many groups of a set are empty
 CHUNK = 256  # classes of a cluster compared with as many others at once
+WIDE = 4  # times as many, where points are compared; a class comes out once for each of its parts
 TASK_ROWS = 2048  # classes of clusters in a task, on average
 SEED = 0xA24BAED4963EE407
 NO_ID = -(1 << 63)
@@ -373,21 +374,21 @@ def _rare_cells(apart: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame
     return cells.select(F.col("g.gram").alias("sig"), "class", "label")
 
 
-def _parts(cells: DataFrame) -> DataFrame:
+def _parts(cells: DataFrame, chunk: int) -> DataFrame:
     """Cells (sig, class, label) in parts (sig, i, j, class, label) that hold what is to be compared.
 
-    A cell of up to CHUNK classes is one part. In a larger one the classes of the commonest label
+    A cell of up to ``chunk`` classes is one part. In a larger one the classes of the commonest label
     aren't compared with each other; all others are, and with those, in chunks.
     """
     counts = cells.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("sig").agg(
         F.max_by("label", F.struct("n", "label")).alias("top"),
         F.sum("n").alias("size"),
-        F.ceil(F.max("n") / CHUNK).alias("top_parts"),
-        F.ceil((F.sum("n") - F.max("n")) / CHUNK).alias("parts"),
+        F.ceil(F.max("n") / chunk).alias("top_parts"),
+        F.ceil((F.sum("n") - F.max("n")) / chunk).alias("parts"),
     )
     parted = cells.join(sizes.where("parts > 0"), "sig").withColumn("hash", F.xxhash64("class"))
-    is_top, whole = F.col("label") == F.col("top"), F.col("size") <= CHUNK
+    is_top, whole = F.col("label") == F.col("top"), F.col("size") <= chunk
     own = F.when(is_top, F.col("parts") + F.pmod("hash", "top_parts")).otherwise(
         F.pmod("hash", "parts")
     )
@@ -427,7 +428,7 @@ def _possible(
     )
     wide = state.where((F.col("size") >= least) & (F.col("low") < F.col("high")))
     wide = wide.groupBy("size", "members_1", "members_2").agg(F.min("sig").alias("sig"))
-    parts = stored(_parts(cells.join(wide.select("sig"), "sig")))
+    parts = stored(_parts(cells.join(wide.select("sig"), "sig"), WIDE * CHUNK))
     loaded = parts.join(classes.select("class", "n", F.col(point).alias("point")), "class").select(
         _tasks(parts), "sig", "i", "j", "class", "label", "n", "point"
     )
@@ -469,7 +470,7 @@ def _searched(
     """
     dealt = stored(_rare_cells(apart, sets, sim))
     free_shuffles(apart.sparkSession)
-    rows = stored(_parts(dealt).withColumnRenamed("sig", "cluster"))
+    rows = stored(_parts(dealt, CHUNK).withColumnRenamed("sig", "cluster"))
     loaded = rows.join(sets.select("class", "grams"), "class").select(
         _tasks(rows, "cluster"), "cluster", "i", "j", "class", "label", "grams"
     )

@@ -186,6 +186,19 @@ def test_large_cells_are_searched_by_points(spark, monkeypatch):
     assert classes_apart(spark, texts, Similarity(3, 9, 10)) == [4, 17, 30, 31]
 
 
+def test_classes_of_a_cell_of_some_chunks_come_out_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    made, parts = [], jaccard._parts
+    monkeypatch.setattr(jaccard, "_parts", lambda *given: made.append(parts(*given)) or made[-1])
+    texts = [" ".join(f"t{k}x{i}" for i in range(100)) for k in range(60)]
+    few = [*texts[:24], texts[17].replace("t17x50", "new"), texts[4].replace("t4x99", "")]
+    assert classes_apart(spark, few, Similarity(3, 9, 10)) == [4, 17, 24, 25]
+    assert made[0].count() == len(few)  # one row of each class
+    many = [*texts, texts[59].replace("t59x50", "new"), texts[4].replace("t4x99", "")]
+    assert classes_apart(spark, many, Similarity(3, 9, 10)) == [4, 59, 60, 61]
+    assert made[2].groupBy("sig", "i", "j").count().count() > 1
+
+
 def test_fine_points_leave_out_what_is_not_quite_similar(spark):
     random, base = Random(8), [f"w{i}" for i in range(400)]
     texts = []
